@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlake.llm import packing, quality, tokens
+from gridlake.llm import licenses, minhash, packing, quality, rules, secrets, tokens
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -17,6 +17,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents"), minhash.Settings(shingle=3, numerator=85))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.length_histogram(tokens.token_counts(table(spark, sf_dir, "documents"), TOKENIZER))
 
@@ -26,12 +31,45 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    of = lambda *kinds: F.filter("findings", lambda x: x["kind"].isin(*kinds))
+    base = [rule.kind for rule in secrets.BASE]
+    return found.select(
+        "doc_id",
+        *[F.size(of(kind)).cast("long").alias(f"n_{kind}") for kind in base],
+        F.sha2(secrets.joined(of(*base)), 256).alias("base_sha256"),
+        secrets.joined(F.col("findings")).alias("spans"),
+    )
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = rules.verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.array_join("failed_rules", ",").alias("failed_rules"))
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    base_labels = F.transform("base", lambda x: x["label"])
+    both = F.concat(base_labels, F.transform("found", lambda x: x["label"]))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("base").cast("long").alias("n_base"),
+        F.array_min(F.transform("base", lambda x: x["word"])).alias("first_word"),
+        F.array_max(F.transform("base", lambda x: x["word"])).alias("last_word"),
+        F.array_join(F.array_sort(F.array_distinct(base_labels)), ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_distinct(both)), ",").alias("labels"),
+        F.col("confidence").alias("score"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_token_counts, op4_packing, op9_quality_classifier)}
+    return {f.__name__: f for f in (op1_minhash, op2_token_counts, op4_packing, op5_secret_scan, op8_quality_rules, op9_quality_classifier, op10_license_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
