@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlake.llm import licenses, minhash, packing, quality, rules, secrets, tokens
+from gridlake.llm import licenses, minhash, packing, quality, rules, secrets, substrings, tokens
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -26,6 +26,11 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.length_histogram(tokens.token_counts(table(spark, sf_dir, "documents"), TOKENIZER))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.remove_repeated(table(spark, sf_dir, "documents"), substrings.Settings(window=50))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), TOKENIZER, window=2048, end_id=1)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -69,7 +74,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_minhash, op2_token_counts, op4_packing, op5_secret_scan, op8_quality_rules, op9_quality_classifier, op10_license_scan)}
+    return {f.__name__: f for f in (op1_minhash, op2_token_counts, op3_substring_dedup, op4_packing, op5_secret_scan, op8_quality_rules, op9_quality_classifier, op10_license_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
