@@ -221,3 +221,13 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, s: Settin
     union = F.size("set_a") + F.size("set_b") - both
     decided = pairs.join(right, "b").join(left, "a").select("a", "b", (100 * both.cast("long") >= s.numerator * union).alias("linked"))
     return saved(decided, "links"), sets
+
+
+def without_near_duplicates(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
+    """The rows of ``docs``, all columns, that stay: one document (doc_id, text) of each group, the smallest id.
+
+    Rows of one id count as one document, of which one row stays when any is kept; rows with a null id stay.
+    """
+    kept = near_duplicates(docs, s).where("kept and doc_id is not null").select("doc_id").distinct()
+    named = docs.join(kept, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
+    return named.union(docs.where(F.col("doc_id").isNull()))

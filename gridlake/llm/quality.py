@@ -135,20 +135,35 @@ def score(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col
     shared = docs.sparkSession.sparkContext.broadcast(weights)  # 2 ** bits numbers, whatever the input
 
     def dot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w = shared.value
         for batch in batches:
-            scores = [np.zeros(0)]
-            for chunk in chunks(batch.column(1)):
-                index, value, border = features(chunk, bits)
-                total = np.zeros(len(index) + 1)
-                np.cumsum(w[index] * value, out=total[1:])
-                scores.append(1 / (1 + np.exp(-np.clip(total[border[1:]] - total[border[:-1]] + w[0], -35, 35))))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(scores))], ["id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_scores(batch.column(1), shared.value, bits))], ["id", "score"])
 
     kind = rows.schema["id"].dataType.simpleString()
     return rows.mapInArrow(dot, f"id {kind}, score double").withColumnRenamed("id", id_col)
 
 
+def without_rejected(docs: DataFrame, weights: np.ndarray, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, whose score reaches the threshold; nothing is shuffled."""
+    bits, at = len(weights).bit_length() - 1, docs.columns.index(text_col)
+    shared = docs.sparkSession.sparkContext.broadcast(weights)
+
+    def good(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(_scores(batch.column(at), shared.value, bits) >= threshold))
+
+    return docs.mapInArrow(good, docs.schema)
+
+
+def _scores(texts: pa.Array, w: np.ndarray, bits: int) -> np.ndarray:
+    scores = [np.zeros(0)]
+    for chunk in chunks(texts):
+        index, value, border = features(chunk, bits)
+        total = np.zeros(len(index) + 1)
+        np.cumsum(w[index] * value, out=total[1:])
+        scores.append(1 / (1 + np.exp(-np.clip(total[border[1:]] - total[border[:-1]] + w[0], -35, 35))))
+    return np.concatenate(scores)
+
+
 def held_out(id_col: str = "doc_id") -> F.Column:
     """True for the fifth of the ids whose checksum is divisible by 5; a null id is held out."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(True))

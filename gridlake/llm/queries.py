@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlake.llm import licenses, minhash, packing, quality, rules, secrets, substrings, tokens
+from gridlake.llm import decontaminate, licenses, lines, minhash, packing, quality, rules, secrets, substrings, tokens
+from gridlake.llm.oracles import ORACLES
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -48,6 +49,17 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.remove_repeated_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_removed", "longest_run", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    items = F.array_join(F.transform("item_ids", lambda x: x.cast("string")), ",")
+    return found.select("doc_id", F.size("item_ids").cast("long").alias("n_items"), items.alias("item_ids"), "max_containment", "contaminated")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = rules.verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.array_join("failed_rules", ",").alias("failed_rules"))
@@ -73,9 +85,23 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+QUERIES = (
+    op1_minhash,
+    op2_token_counts,
+    op3_substring_dedup,
+    op4_packing,
+    op5_secret_scan,
+    op6_line_dedup,
+    op7_decontamination,
+    op8_quality_rules,
+    op9_quality_classifier,
+    op10_license_scan,
+)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_minhash, op2_token_counts, op3_substring_dedup, op4_packing, op5_secret_scan, op8_quality_rules, op9_quality_classifier, op10_license_scan)}
+    return {f.__name__: f for f in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)

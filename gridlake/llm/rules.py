@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridlake.llm.scratch import saved
-from gridlake.llm.text import Chunk, SpanHasher, chunks, is_separator, mix, runs, words
+from gridlake.llm.text import Chunk, chunks, is_separator, lines, mix, runs, words
 
 SIGNALS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
 _SYMBOL = np.zeros(256, bool)
@@ -80,17 +80,10 @@ def _counts(chunk: Chunk) -> list[np.ndarray]:
     chars = np.diff(inside(~is_separator(data) & ((data & 0xC0) != 0x80))[chunk.offsets])
     symbols = np.diff(inside(_SYMBOL[data])[chunk.offsets])
 
-    breaks = np.flatnonzero(data == 10)
-    start = np.union1d(chunk.offsets[:-1], breaks + 1)
-    start = start[start < len(data)]
-    row = np.searchsorted(chunk.offsets[1:], start, "right")
-    stop = np.append(breaks, len(data))[np.searchsorted(breaks, start)] if len(start) else start
-    end = np.minimum(stop, chunk.offsets[row + 1]) if len(start) else start
-    worded = np.searchsorted(found.start, end) > np.searchsorted(found.start, start)
-    start, end, row = start[worded], end[worded], row[worded]
-    lines = np.bincount(row, minlength=n)
-    _, first = np.unique(mix(SpanHasher(data)(start, end) ^ mix(row.astype(np.uint64))), return_index=True)
-    dup_lines = lines - np.bincount(row[first], minlength=n)
+    row, line, _, _ = lines(chunk, found)
+    n_lines = np.bincount(row, minlength=n)
+    _, first = np.unique(mix(line ^ mix(row.astype(np.uint64))), return_index=True)
+    dup_lines = n_lines - np.bincount(row[first], minlength=n)
 
     at, code = runs(found.code, found.row, REPEAT_WINDOW)
     cover = np.zeros(len(found.row) + 1, np.int64)
@@ -100,7 +93,7 @@ def _counts(chunk: Chunk) -> list[np.ndarray]:
         np.add.at(cover, again, 1)
         np.add.at(cover, again + REPEAT_WINDOW, -1)
     repeat = np.bincount(found.row[np.cumsum(cover[:-1]) > 0], minlength=n)
-    return [total, chars, symbols, dup_lines, repeat, lines]
+    return [total, chars, symbols, dup_lines, repeat, n_lines]
 
 
 def exceeds_risk_rejected(removed: int, good: int, risk: float, error: float) -> bool:

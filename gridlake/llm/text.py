@@ -157,3 +157,18 @@ def shingle_sets(chunk: Chunk, k: int, lower: bool = True) -> Iterator[tuple[int
             yield i, runs(found.code[first:last], found.row[first:last], int(last - first))[1]
         else:
             yield i, np.zeros(0, np.uint64)
+
+
+def lines(chunk: Chunk, found: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Lines (split at line feeds) that hold a word: row, hash of the whole line, its number of words, and its start."""
+    data = chunk.data
+    breaks = np.flatnonzero(data == 10)
+    start = np.union1d(chunk.offsets[:-1], breaks + 1)
+    start = start[start < len(data)]
+    row = np.searchsorted(chunk.offsets[1:], start, "right")
+    if not len(start):
+        return row, np.zeros(0, np.uint64), row, start
+    end = np.minimum(np.append(breaks, len(data))[np.searchsorted(breaks, start)], chunk.offsets[row + 1])
+    size = np.searchsorted(found.start, end) - np.searchsorted(found.start, start)
+    worded = size > 0
+    return row[worded], SpanHasher(data)(start[worded], end[worded]), size[worded], start[worded]
