@@ -8,34 +8,17 @@ run; ``clear_scratch`` removes all that this session wrote.
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
-_own_root: list[str] = []
-_written: list[str] = []
-
+from gridlake.sources.workspace import new_folder
 
-def scratch_root(spark: SparkSession) -> str:
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    master = spark.conf.get("spark.master", "local")
-    if not master.startswith("local") or master.startswith("local-cluster"):
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    if not _own_root:
-        _own_root.append(tempfile.mkdtemp(prefix="gridlake-"))
-        atexit.register(shutil.rmtree, _own_root[0], ignore_errors=True)
-    return f"file://{_own_root[0]}"
+_written: list[str] = []
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it again: later plans start from the files, and survive lost executors."""
     spark = df.sparkSession
-    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = new_folder(spark, name)
     df.write.parquet(path)
     _written.append(path)
     again = spark.read.schema(df.schema).parquet(path)
