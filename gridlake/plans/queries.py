@@ -606,7 +606,7 @@ SELECT date, round(25 - (i + 0.5) / 24, 6)::DOUBLE AS lat, round(120 + (j + 0.5)
 WHERE (8 * i + j + vec_id) % 11 <> 0 AND (8 * i + j + vec_id) % 13 <> 0"""
 
 
-@register(_RASTER_SQL)
+@register(_RASTER_SQL.replace("::DOUBLE, 6)", f"::DOUBLE + {NUDGE}, 6)"))
 def raster_to_rows(x: Layers) -> DataFrame:
     return files.raster_to_rows(x.rasters(), [-32767.0]).select("date", "lat", "lon", "value")
 
