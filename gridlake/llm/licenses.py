@@ -33,18 +33,18 @@ FAMILIES = (
     ("agpl", "gnu agpl|agpl|gnu affero general public licen[sc]e|affero general public licen[sc]e", "1 3", "agpl;affero"),
     ("gfdl", "gfdl|gnu free documentation licen[sc]e", "1.1 1.2 1.3", "gfdl;free documentation"),
     ("apache", "apache licen[sc]e|apache software licen[sc]e|asl|apache", "1 1.1 2", "apache"),
-    ("mpl", "mpl|mozilla public licen[sc]e", "1 1.1 2", "mpl;mozilla"),
-    ("epl", "epl|eclipse public licen[sc]e", "1 2", "epl;eclipse"),
+    ("mpl", "mpl|mozilla public licen[sc]e", "1 1.1 2", "mpl ;mozilla"),
+    ("epl", "epl|eclipse public licen[sc]e", "1 2", "epl ;eclipse"),
     ("cddl", "cddl|common development and distribution licen[sc]e", "1 1.1", "cddl;common development"),
     ("eupl", "eupl|european union public licen[sc]e", "1 1.1 1.2", "eupl;european union"),
     ("artistic", "artistic licen[sc]e|artistic", "1 2", "artistic"),
-    ("osl", "osl|open software licen[sc]e", "1 2 2.1 3", "osl;open software"),
-    ("afl", "afl|academic free licen[sc]e", "1.1 1.2 2 2.1 3", "afl;academic free"),
-    ("bsl", "boost software licen[sc]e|bsl", "1", "boost;bsl"),
-    ("zpl", "zpl|zope public licen[sc]e", "1.1 2 2.1", "zpl;zope"),
+    ("osl", "osl|open software licen[sc]e", "1 2 2.1 3", "osl ;open software"),
+    ("afl", "afl|academic free licen[sc]e", "1.1 1.2 2 2.1 3", "afl ;academic free"),
+    ("bsl", "boost software licen[sc]e|bsl", "1", "boost;bsl "),
+    ("zpl", "zpl|zope public licen[sc]e", "1.1 2 2.1", "zpl ;zope"),
     ("php", "php licen[sc]e", "3 3.01", "php"),
-    ("psf", "python software foundation licen[sc]e|psf licen[sc]e", "2", "python software;psf"),
-    ("ofl", "sil open font licen[sc]e|open font licen[sc]e|ofl", "1 1.1", "open font;ofl"),
+    ("psf", "python software foundation licen[sc]e|psf licen[sc]e", "2", "python software;psf "),
+    ("ofl", "sil open font licen[sc]e|open font licen[sc]e|ofl", "1 1.1", "open font;ofl "),
     ("odbl", "open database licen[sc]e|odbl", "1", "open database;odbl"),
     ("cecill", "cecill", "1 1.1 2 2.1", "cecill"),
     ("mulan", "mulan psl|mulan permissive software licen[sc]e", "1 2", "mulan"),
@@ -144,8 +144,8 @@ def scan(docs: DataFrame, rules: tuple[Signature, ...] | None = None, id_col: st
         sizes = f"transform({pieces}, p -> {count.format('p')})"
         step = len(phrase.split())
         places.append(
-            f"transform(filter(aggregate({sizes}, named_struct('at', 0L, 'all', cast(array() as array<bigint>)),"
-            f" (s, n) -> named_struct('at', s.at + n + {step}L, 'all', array_append(s.all, s.at + n))).all, (x, i) -> i < size({pieces}) - 1),"
+            f"transform(aggregate({sizes}, named_struct('at', 0L, 'all', cast(array() as array<bigint>)),"
+            f" (s, n) -> named_struct('at', s.at + n + {step}L, 'all', array_append(s.all, s.at + n)), s -> slice(s.all, 1, size(s.all) - 1)),"
             f" x -> named_struct('label', '{label}', 'word', x))"
         )
     base = f"case when has_base then concat({', '.join(places)}) else {no_base} end"
@@ -154,9 +154,8 @@ def scan(docs: DataFrame, rules: tuple[Signature, ...] | None = None, id_col: st
         f"named_struct('label', {_quoted(r.label)}, 'keywords', array({', '.join(map(_quoted, r.keywords))}), 'pattern', {_quoted(r.pattern)}, 'priority', {r.priority}, 'confidence', {r.confidence}D, 'rank', {i})"
         for i, r in enumerate(rules)
     )
-    held = f"filter(array({', '.join(_quoted(k) for k in keywords)}), k -> contains(form, concat(' ', k)))"
     hits = (
-        f"transform(filter(array({table}), r -> arrays_overlap(held, r.keywords)), r -> named_struct('r', r, 'cut', split(form, r.pattern, -1), 'hit', regexp_extract_all(form, r.pattern, 0)))"
+        f"transform(filter(array({table}), r -> exists(r.keywords, k -> contains(form, concat(' ', k)))), r -> named_struct('r', r, 'cut', split(form, r.pattern, -1), 'hit', regexp_extract_all(form, r.pattern, 0)))"
     )
     starts = (
         "flatten(transform(filter(hits, h -> size(h.hit) > 0), h -> transform(sequence(1, size(h.hit)), j -> named_struct("
@@ -170,7 +169,7 @@ def scan(docs: DataFrame, rules: tuple[Signature, ...] | None = None, id_col: st
         " or (e.priority = d.priority and e.finish - e.start > d.finish - d.start)"
         " or (e.priority = d.priority and e.start = d.start and e.finish = d.finish and e.rank < d.rank))))"
     )
-    step = rows.selectExpr("id", "n_words", f"{base} as base", "form", "has_rule", f"case when has_rule then {held} else cast(array() as array<string>) end as held")
+    step = rows.selectExpr("id", "n_words", f"{base} as base", "form", "has_rule")
     step = step.selectExpr("id", "n_words", "base", "has_rule", f"case when has_rule then {hits} end as hits")
     step = step.selectExpr("id", "n_words", "base", f"case when has_rule then {starts} else {no_found} end as raw")
     step = step.selectExpr("id", "n_words", "base", f"{survive} as found")
