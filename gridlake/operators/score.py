@@ -25,13 +25,17 @@ def relative_score(df: DataFrame) -> DataFrame:
     Cells without fishing score 0 but stay in the ranking; a cell alone scores 100. Values are compared after
     rounding to 9 digits, so that noise in the last bits of a mean can't break a tie.
     """
-    scope = Window.partitionBy(*SCOPE)
-    rank = F.percent_rank().over(scope.orderBy(F.round("metric_value", TIE_DIGITS))) * 100.0
+    scope = Window.partitionBy(*SCOPE).orderBy(F.round("metric_value", TIE_DIGITS))
+    rank = F.percent_rank().over(scope) * 100.0
+    cells = F.count("*").over(scope.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     idle = (F.col("product_id") == "GFW") & (F.col("metric_value") <= 0)
-    score = F.when(idle, 0.0).when(F.count("*").over(scope) == 1, 100.0).otherwise(rank)
+    score = F.when(idle, 0.0).when(cells == 1, 100.0).otherwise(rank)
     return df.withColumn("relative_score", score).withColumn("display_level", display_level(F.col("relative_score")))
 
 
 def map_metric(fine: DataFrame) -> DataFrame:
-    """The whole map table of fine features: rolled up, long, complete and scored. The gate and the ranks share one shuffle."""
-    return relative_score(complete_scopes(long_metrics(multi_resolution(fine))))
+    """The whole map table of fine features: rolled up, long, scored and complete.
+
+    The gate drops whole scopes, so it may follow the ranking; then both use one sort, in the partitions of the roll-up.
+    """
+    return complete_scopes(relative_score(long_metrics(multi_resolution(fine))))

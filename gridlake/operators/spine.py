@@ -27,7 +27,9 @@ def _with_cells(df: DataFrame, area: Area) -> DataFrame:
     r0, r1, c0, c1 = extent(area)
     rows = df.withColumn("_row", F.explode(F.sequence(F.lit(r0), F.lit(r1))))
     cells = rows.withColumn("_col", F.explode(F.sequence(F.lit(c0), F.lit(c1))))
-    cells = cells.withColumns({"grid_row": F.col("_row").cast("short"), "grid_col": F.col("_col").cast("short"), "aoi_id": F.lit(area.id)})
+    # A generated id, not a constant: windows by area and day then see that rows dealt by both are in place.
+    cells = cells.withColumn("aoi_id", F.explode(F.array(F.lit(area.id))))
+    cells = cells.withColumns({"grid_row": F.col("_row").cast("short"), "grid_col": F.col("_col").cast("short")})
     return cells.withColumn("grid_id", fine_grid_id(F.col("grid_row"), F.col("grid_col"))).drop("_row", "_col")
 
 
