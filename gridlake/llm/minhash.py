@@ -2,9 +2,10 @@
 
 Under each of ``permutations`` hash functions a document keeps the smallest and the largest value of its shingles, so a
 signature has two values for each evaluation. Bands of ``rows`` values are hashed to bucket keys. Exact copies are
-one class from the start. In each bucket the members are confirmed against one hub; what the hub doesn't link is
-confirmed against all of the bucket that is in another component. So a group of n near copies costs n confirmations
-a band, not n * n, and still no link between two components is missed. Links are confirmed on full shingle sets.
+one class from the start. In each bucket the members are confirmed against one hub, the earliest document; what the hub
+doesn't link is confirmed against all of the bucket that is in another component, unless too few of its shingles stand
+in any other candidate for a link to be possible. So a group of n near copies costs n confirmations a band, not n * n,
+and still no link between two components is missed. Links are confirmed on full shingle sets.
 """
 
 from __future__ import annotations
@@ -146,11 +147,11 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings(), id_col: str = "do
         "classes",
     )
     info = classes.select("class", "n", "sketch")
-    keyed = classes.select("class", F.explode("bands").alias("key"))
-    hubs = keyed.groupBy("key").agg(F.min("class").alias("hub"), F.count("*").alias("size")).where("size > 1").select("key", "hub")
-    members = saved(keyed.join(hubs, "key").select("key", "hub", "class"), "members")
+    keyed = classes.select("class", "id", F.explode("bands").alias("key"))
+    hubs = keyed.groupBy("key").agg(F.min(F.struct("id", "class")).alias("first"), F.count("*").alias("size")).where("size > 1")
+    members = saved(keyed.join(hubs, "key").select("key", F.col("first.class").alias("hub"), "class"), "members")
 
-    first = members.where("class <> hub").select(F.col("hub").alias("a"), F.col("class").alias("b")).distinct()
+    first = members.where("class <> hub").select(F.least("hub", "class").alias("a"), F.greatest("hub", "class").alias("b")).distinct()
     first = _plausible(first, info, s)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     links, sets = _confirmed(first, classes, texts, s)
@@ -161,20 +162,13 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings(), id_col: str = "do
     placed = placed.withColumn("component", F.coalesce("component", "class"))
     hub_part = known.select(F.col("node").alias("hub"), F.col("component").alias("hub_component"))
     placed = placed.join(hub_part, "hub", "left").withColumn("hub_component", F.coalesce("hub_component", "hub"))
-    placed = saved(placed.join(info, "class").select("key", "class", "component", "hub_component", "n", "sketch"), "placed")
+    placed = saved(placed.join(info, "class").select("key", "hub", "class", "component", "hub_component", "n", "sketch"), "placed")
+    linked = links.where("linked")
     apart = placed.where("component <> hub_component")
-    x, y = apart.alias("x"), placed.alias("y")
-    second = x.join(
-        y,
-        (F.col("x.key") == F.col("y.key"))
-        & (F.col("x.component") != F.col("y.component"))
-        & ((F.col("y.component") == F.col("y.hub_component")) | (F.col("x.class") < F.col("y.class")))
-        & _near(F.col("x.n"), F.col("y.n"), F.col("x.sketch"), F.col("y.sketch"), s),
-    ).select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b"))
-    second = second.distinct().join(links.select("a", "b"), ["a", "b"], "left_anti")
-    more, _ = _confirmed(second, classes, texts, s, sets)
-
-    linked = links.where("linked").union(more.where("linked"))
+    if not apart.isEmpty():
+        pairs = _across(apart, placed, sets, s).join(links.select("a", "b"), ["a", "b"], "left_anti")
+        more, _ = _confirmed(pairs, classes, texts, s, sets)
+        linked = linked.union(more.where("linked"))
     groups = components(linked.select(F.col("a").alias("u"), F.col("b").alias("v")))
     named = classes.select("class", "id").join(groups.select(F.col("node").alias("class"), "component"), "class", "left")
     named = named.select("class", "id", F.coalesce("component", "class").alias("component"))
@@ -191,6 +185,49 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings(), id_col: str = "do
     )
 
 
+_LOST_WORDS = 8
+
+
+def _profiles(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """What bounds the intersection of two members of a bucket, for members and hubs whose sets are known.
+
+    ``common``: the member's shingles that another known set has too; ``outside``: those of them that the hub lacks;
+    ``hub_n``: the hub's size; ``lost``: the hub's shingles that the member lacks, hashed into 512 bits.
+    """
+    shingle = sets.select("class", F.explode("shingles").alias("shingle"))
+    shared = shingle.groupBy("shingle").agg(F.count("*").alias("holders")).where("holders > 1").select("shingle")
+    common = shingle.join(members.select("class").distinct(), "class", "left_semi").join(shared, "shingle").groupBy("class").agg(F.count("*").alias("common"))
+    hubs = sets.select(F.col("class").alias("hub"), F.col("shingles").alias("hub_set"))
+    both = members.select("hub", "class").distinct().join(sets, "class").join(hubs, "hub")
+    both = both.select("hub", "class", F.size("hub_set").alias("hub_n"), F.array_except("hub_set", "shingles").alias("gone"))
+    word = "aggregate(gone, 0L, (b, s) -> if(pmod(s, {n}) = w, b | shiftleft(1L, cast(pmod(shiftright(s, 3), 64) as int)), b))".format(n=_LOST_WORDS)
+    lost = both.selectExpr("hub", "class", "hub_n", "size(gone) as n_lost", f"transform(sequence(0, {_LOST_WORDS - 1}), w -> {word}) as lost")
+    known = lost.join(common, "class", "left").withColumn("common", F.coalesce("common", F.lit(0)))
+    return known.select("hub", "class", "common", (F.col("common") - (F.col("hub_n") - F.col("n_lost"))).alias("outside"), "hub_n", "lost")
+
+
+def _across(apart: DataFrame, placed: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
+    """Pairs (a, b) of a bucket's classes in different components that can still be linked; one side is not linked to the hub.
+
+    Two members share at most the hub's shingles that neither lacks and what both have outside the hub. Where that is too
+    little for the threshold the pair is left out: it can't be a link. This spares near copies with edits of their own.
+    """
+    near = placed.join(apart.select("key").distinct(), "key", "left_semi")
+    near = saved(near.join(_profiles(near, sets), ["hub", "class"], "left"), "profiles")
+    x, y = near.where("component <> hub_component").alias("x"), near.alias("y")
+    kept = F.col("x.hub_n") - sum((F.bit_count(F.col("x.lost")[i].bitwiseOR(F.col("y.lost")[i])) for i in range(_LOST_WORDS)), F.lit(0))
+    most = F.least("x.common", "y.common", kept + F.least("x.outside", "y.outside"))
+    pairs = x.join(
+        y,
+        (F.col("x.key") == F.col("y.key"))
+        & (F.col("x.component") != F.col("y.component"))
+        & ((F.col("y.component") == F.col("y.hub_component")) | (F.col("x.class") < F.col("y.class")))
+        & _near(F.col("x.n"), F.col("y.n"), F.col("x.sketch"), F.col("y.sketch"), s)
+        & (F.col("x.common").isNull() | F.col("y.common").isNull() | ((100 + s.numerator) * most >= s.numerator * (F.col("x.n") + F.col("y.n")))),
+    )
+    return pairs.select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")).distinct()
+
+
 def _near(n: F.Column, m: F.Column, sketch: F.Column, other: F.Column, s: Settings) -> F.Column:
     """Sizes and sketches allow a link."""
     differ = sum((F.bit_count(sketch[i].bitwiseXOR(other[i])) for i in range(s.sketch_words)), F.lit(0))
