@@ -62,6 +62,8 @@ FAMILIES = (
     ("licensed", "licensed under|released under|distributed under the terms", "", "licensed under;released under;distributed under"),
 )
 _BSD = (("0", "zero clause|0 clause"), ("2", "simplified|two clause|2 clause|freebsd"), ("3", "new|revised|modified|three clause|3 clause"), ("4", "original|four clause|4 clause"))
+_EXCEPTIONS = (("classpath", "classpath"), ("gcc", "gcc(?: runtime library)?"), ("font", "font"), ("linking", "linking"))
+_GNU_LINKS = {"gpl": "gpl", "lgpl": "lgpl", "agpl": "agpl", "gfdl": "fdl"}
 _CC_PARTS = (("by", "by|attribution"), ("nc", "nc|non ?commercial"), ("nd", "nd|no ?derivs|no ?derivatives"), ("sa", "sa|share ?alike"))
 _CC_KINDS = (("by",), ("by", "sa"), ("by", "nd"), ("by", "nc"), ("by", "nc", "sa"), ("by", "nc", "nd"))
 _CC_VERSIONS = ("1.0", "2.0", "2.5", "3.0", "4.0")
@@ -88,8 +90,11 @@ def signatures() -> tuple[Signature, ...]:
         for version in versions.split():
             # Names and numbers: "license version 2 0", "gpl v2", "gplv2", "apache 2 0".
             numbered = f"(?:{names})(?: licen[sc]e)?(?: version| ver| v)? ?v?{_number(version)}"
-            add(f"{label}-{version}", keywords, f"{numbered}(?: only)?", 3, 0.95)
+            add(f"{label}-{version}", keywords, numbered, 3, 0.95)
             if "gpl" in label or label == "gfdl":
+                add(f"{label}-{version}-only", keywords, f"{numbered} only", 4, 0.95)
+                for exception, names_of in _EXCEPTIONS if label == "gpl" else ():
+                    add(f"{label}-{version}-with-{exception}", keywords, f"{numbered}(?: or later| only)? with (?:the )?(?:{names_of}) exception", 5, 0.95)
                 later = r"(?: or later| or at your option any later version| or any later version)"
                 add(f"{label}-{version}-or-later", keywords, numbered + later, 4, 0.95)
     for clauses, names in _BSD:
@@ -102,6 +107,17 @@ def signatures() -> tuple[Signature, ...]:
         for version in _CC_VERSIONS:
             number = version.replace(".", " ").replace(" 0", "(?: 0)?")
             add(f"{name}-{version}", "cc by;creative commons", f"(?:cc|creative commons) {body}(?: licen[sc]e)?(?: version| v)? {number}(?: international| unported| generic)?", 6 + len(parts), 0.95)
+        add(f"{name}-link", "creativecommons org", f"creativecommons org licen[sc]es {' '.join(parts)}", 2 + len(parts), 0.9)
+        for version in _CC_VERSIONS:
+            add(f"{name}-{version}", "creativecommons org", f"creativecommons org licen[sc]es {' '.join(parts)} {version.replace('.', ' ')}", 6 + len(parts), 0.95)
+    for label, _, versions, _ in FAMILIES:
+        if label in _GNU_LINKS:
+            add(f"{label}-link", "gnu org", f"gnu org licen[sc]es {_GNU_LINKS[label]}", 2, 0.9)
+            for version in versions.split():
+                add(f"{label}-{version}", "gnu org", f"gnu org licen[sc]es (?:old licen[sc]es )?{_GNU_LINKS[label]} {_number(version)}", 3, 0.95)
+        elif label not in ("copyright", "licensed", "proprietary", "public-domain"):
+            add(f"{label}-link", "opensource org", f"opensource org licen[sc]es? {label.replace('-', ' ')}", 2, 0.9)
+    add("apache-2", "apache org", "apache org licen[sc]es licen[sc]e 2 0", 3, 0.95)
     add("spdx", "spdx license identifier", "spdx license identifier (?:[a-z0-9]+ ?){1,6}?", 2, 1.0)
     return tuple(out)
 
