@@ -23,6 +23,7 @@ from gridlake.llm.scratch import saved
 from gridlake.llm.text import chunks, mix, shingle_sets
 
 _U = np.uint64
+_LOST_WORDS = 8
 
 
 @dataclass(frozen=True)
@@ -185,9 +186,6 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings(), id_col: str = "do
     )
 
 
-_LOST_WORDS = 8
-
-
 def _profiles(members: DataFrame, sets: DataFrame) -> DataFrame:
     """What bounds the intersection of two members of a bucket, for members and hubs whose sets are known.
 
@@ -200,10 +198,11 @@ def _profiles(members: DataFrame, sets: DataFrame) -> DataFrame:
     hubs = sets.select(F.col("class").alias("hub"), F.col("shingles").alias("hub_set"))
     both = members.select("hub", "class").distinct().join(sets, "class").join(hubs, "hub")
     both = both.select("hub", "class", F.size("hub_set").alias("hub_n"), F.array_except("hub_set", "shingles").alias("gone"))
-    word = "aggregate(gone, 0L, (b, s) -> if(pmod(s, {n}) = w, b | shiftleft(1L, cast(pmod(shiftright(s, 3), 64) as int)), b))".format(n=_LOST_WORDS)
+    word = f"aggregate(gone, 0L, (b, s) -> if(pmod(s, {_LOST_WORDS}) = w, b | shiftleft(1L, cast(pmod(shiftright(s, 3), 64) as int)), b))"
     lost = both.selectExpr("hub", "class", "hub_n", "size(gone) as n_lost", f"transform(sequence(0, {_LOST_WORDS - 1}), w -> {word}) as lost")
     known = lost.join(common, "class", "left").withColumn("common", F.coalesce("common", F.lit(0)))
-    return known.select("hub", "class", "common", (F.col("common") - (F.col("hub_n") - F.col("n_lost"))).alias("outside"), "hub_n", "lost")
+    outside = F.greatest(F.col("common") - (F.col("hub_n") - F.col("n_lost")), F.lit(0))  # the hub itself has none
+    return known.select("hub", "class", "common", outside.alias("outside"), "hub_n", "lost")
 
 
 def _across(apart: DataFrame, placed: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:

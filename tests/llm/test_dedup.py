@@ -66,6 +66,25 @@ def test_near_duplicates_nulls_and_repeats(spark):
     assert minhash.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+@pytest.mark.parametrize("with_base", [True, False])
+def test_large_group_around_the_threshold(spark, with_base):
+    """Copies with edits of their own: links to the base and between copies lie on both sides of the threshold."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(4))
+    base = [word() for _ in range(200)]
+    rows = [(0, " ".join(base))] if with_base else []
+    for i in range(1, 121):
+        rate = rng.uniform(0.005, 0.06)
+        copy = [word() if rng.random() < rate else w for w in base]
+        if i % 10 == 0:
+            copy += [word() for _ in range(12)]
+        rows.append((i, " ".join(copy)))
+    want = brute.near_duplicates(rows, 3, 85)
+    assert 2 < len({c for _, c in want.values()}) < 100
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), minhash.Settings(shingle=3, numerator=85)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
+
+
 def test_bands_find_a_pair_at_the_threshold():
     s = minhash.Settings()
     assert (1 - 0.8**s.rows) ** s.bands < 2e-7 and s.bands * s.rows == 2 * s.permutations
