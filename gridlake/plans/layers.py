@@ -30,7 +30,7 @@ SELECT CAST(DATE '2024-01-01' + CAST(l_orderkey % 30 AS INT) AS STRING) AS date,
        l_quantity AS hours,
        CASE WHEN l_tax > CAST(0.07 AS DOUBLE) THEN l_quantity + 1 ELSE LEAST(l_quantity, l_quantity * l_discount * 10) END AS fishing_hours,
        CAST(l_linenumber AS BIGINT) AS mmsi_present
-FROM {lineitem} WHERE l_partkey % 20 = 0
+FROM {lineitem}
 """
 RASTERS = """
 SELECT vec_id, DATE '2024-01-01' + CAST(vec_id % 30 AS INT) AS date, embedding FROM {embeddings}
