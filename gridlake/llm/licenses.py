@@ -27,24 +27,25 @@ class Signature:
 
 
 # License families: label, names (words as the scan sees them), versions, keyword of the prefilter.
+# Each text that a rule matches holds one of its keywords at the start of a word; versions may be joined to a name ("mplv2").
 FAMILIES = (
     ("gpl", "gnu gpl|gpl|gnu general public licen[sc]e|general public licen[sc]e", "1 2 3", "gpl;general public"),
     ("lgpl", "gnu lgpl|lgpl|gnu (?:lesser|library) general public licen[sc]e|(?:lesser|library) general public licen[sc]e", "2 2.1 3", "lgpl;general public"),
     ("agpl", "gnu agpl|agpl|gnu affero general public licen[sc]e|affero general public licen[sc]e", "1 3", "agpl;affero"),
     ("gfdl", "gfdl|gnu free documentation licen[sc]e", "1.1 1.2 1.3", "gfdl;free documentation"),
-    ("apache", "apache licen[sc]e|apache software licen[sc]e|asl|apache", "1 1.1 2", "apache"),
-    ("mpl", "mpl|mozilla public licen[sc]e", "1 1.1 2", "mpl ;mozilla"),
-    ("epl", "epl|eclipse public licen[sc]e", "1 2", "epl ;eclipse"),
+    ("apache", "apache licen[sc]e|apache software licen[sc]e|asl|apache", "1 1.1 2", "apache;asl"),
+    ("mpl", "mpl|mozilla public licen[sc]e", "1 1.1 2", "mpl;mozilla"),
+    ("epl", "epl|eclipse public licen[sc]e", "1 2", "epl;eclipse"),
     ("cddl", "cddl|common development and distribution licen[sc]e", "1 1.1", "cddl;common development"),
     ("eupl", "eupl|european union public licen[sc]e", "1 1.1 1.2", "eupl;european union"),
     ("artistic", "artistic licen[sc]e|artistic", "1 2", "artistic"),
-    ("osl", "osl|open software licen[sc]e", "1 2 2.1 3", "osl ;open software"),
-    ("afl", "afl|academic free licen[sc]e", "1.1 1.2 2 2.1 3", "afl ;academic free"),
-    ("bsl", "boost software licen[sc]e|bsl", "1", "boost;bsl "),
-    ("zpl", "zpl|zope public licen[sc]e", "1.1 2 2.1", "zpl ;zope"),
+    ("osl", "osl|open software licen[sc]e", "1 2 2.1 3", "osl;open software"),
+    ("afl", "afl|academic free licen[sc]e", "1.1 1.2 2 2.1 3", "afl;academic free"),
+    ("bsl", "boost software licen[sc]e|bsl", "1", "boost;bsl"),
+    ("zpl", "zpl|zope public licen[sc]e", "1.1 2 2.1", "zpl;zope"),
     ("php", "php licen[sc]e", "3 3.01", "php"),
     ("psf", "python software foundation licen[sc]e|psf licen[sc]e", "2", "python software;psf "),
-    ("ofl", "sil open font licen[sc]e|open font licen[sc]e|ofl", "1 1.1", "open font;ofl "),
+    ("ofl", "sil open font licen[sc]e|open font licen[sc]e|ofl", "1 1.1", "open font;ofl"),
     ("odbl", "open database licen[sc]e|odbl", "1", "open database;odbl"),
     ("cecill", "cecill", "1 1.1 2 2.1", "cecill"),
     ("mulan", "mulan psl|mulan permissive software licen[sc]e", "1 2", "mulan"),
@@ -103,10 +104,10 @@ def signatures() -> tuple[Signature, ...]:
     for parts in _CC_KINDS:
         body = " ".join(f"(?:{dict(_CC_PARTS)[p]})" for p in parts)
         name = "cc-" + "-".join(parts)
-        add(name, "cc by;creative commons", f"(?:cc|creative commons) {body}", 2 + len(parts), 0.8)
+        add(name, "cc by;cc attribution;creative commons", f"(?:cc|creative commons) {body}", 2 + len(parts), 0.8)
         for version in _CC_VERSIONS:
             number = version.replace(".", " ").replace(" 0", "(?: 0)?")
-            add(f"{name}-{version}", "cc by;creative commons", f"(?:cc|creative commons) {body}(?: licen[sc]e)?(?: version| v)? {number}(?: international| unported| generic)?", 6 + len(parts), 0.95)
+            add(f"{name}-{version}", "cc by;cc attribution;creative commons", f"(?:cc|creative commons) {body}(?: licen[sc]e)?(?: version| v)? {number}(?: international| unported| generic)?", 6 + len(parts), 0.95)
         add(f"{name}-link", "creativecommons org", f"creativecommons org licen[sc]es {' '.join(parts)}", 2 + len(parts), 0.9)
         for version in _CC_VERSIONS:
             add(f"{name}-{version}", "creativecommons org", f"creativecommons org licen[sc]es {' '.join(parts)} {version.replace('.', ' ')}", 6 + len(parts), 0.95)
