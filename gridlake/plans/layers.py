@@ -20,7 +20,6 @@ SELECT CAST(ts AS DATE) AS date,
        CAST(value AS FLOAT) AS value,
        CASE WHEN event_id % 17 = 0 THEN NULL ELSE CAST(event_id % 3 AS SMALLINT) END AS quality_level
 FROM {events}
-WHERE NOT (event_type = 'signup' AND CAST(ts AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-14')
 """
 EFFORT = """
 SELECT CAST(DATE '2024-01-01' + CAST(l_orderkey % 30 AS INT) AS STRING) AS date,
