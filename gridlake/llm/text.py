@@ -129,16 +129,22 @@ def is_separator(data: np.ndarray) -> np.ndarray:
 _PLACE = mix(np.arange(1, 65, dtype=np.uint64) * _U(0xD1342543DE82EF95)) | _U(1)
 
 
+def phrase_codes(code: np.ndarray, k: int) -> np.ndarray:
+    """Hashes of all runs of k consecutive words, also across rows. k is at most 64; there must be k words."""
+    n = len(code) - k + 1
+    total = code[:n] * _PLACE[0]
+    for j in range(1, k):
+        total = total + code[j : j + n] * _PLACE[j]
+    return mix(total + _U(k))
+
+
 def runs(code: np.ndarray, row: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Positions and hashes of all runs of k consecutive words of one row. k is at most 64."""
     n = len(code) - k + 1
     if n <= 0:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    total = code[:n] * _PLACE[0]
-    for j in range(1, k):
-        total = total + code[j : j + n] * _PLACE[j]
     at = np.flatnonzero(row[:n] == row[k - 1 :])
-    return at, mix(total[at] + _U(k))
+    return at, phrase_codes(code, k)[at]
 
 
 def shingle_sets(chunk: Chunk, k: int, lower: bool = True) -> Iterator[tuple[int, np.ndarray]]:
