@@ -2,10 +2,11 @@
 
 Under each of ``permutations`` hash functions a document keeps the smallest and the largest value of its shingles, so a
 signature has two values for each evaluation. Bands of ``rows`` values are hashed to bucket keys. Exact copies are
-one class from the start. In each bucket the members are confirmed against one hub, the earliest document; what the hub
-doesn't link is confirmed against all of the bucket that is in another component, unless too few of its shingles stand
-in any other candidate for a link to be possible. So a group of n near copies costs n confirmations a band, not n * n,
-and still no link between two components is missed. Links are confirmed on full shingle sets.
+one class from the start. Links are confirmed on full shingle sets, first between each member of a bucket and one hub.
+While a bucket's members are in several components, another of those outside the first hub's component is the hub of a
+further turn; a turn costs one confirmation a member, and templates with shared alternatives become one component
+after few. What is still apart when turns find no more links is confirmed pair by pair across components, unless too
+few of its shingles stand in any other candidate for a link to be possible, so no link between components is missed.
 """
 
 from __future__ import annotations
@@ -32,13 +33,15 @@ class Settings:
 
     With 40 bands of 5 values a pair at similarity 0.85 shares no bucket with probability 7e-11, at 0.80 with
     1e-7. ``sketch`` bits (one for each signature value) drop a candidate pair before its sets are read when they
-    differ more than a pair at the threshold does with probability 1e-9 (six standard deviations).
+    differ more than a pair at the threshold does with probability 1e-9 (six standard deviations). ``turns`` is the
+    most hubs that a bucket tries before its components are compared pair by pair; it changes the work, not the result.
     """
 
     shingle: int = 5
     numerator: int = 80
     permutations: int = 100
     rows: int = 5
+    turns: int = 6
 
     @property
     def bands(self) -> int:
@@ -55,8 +58,9 @@ class Settings:
 
 
 def signatures(docs: DataFrame, s: Settings, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id``, ``n_shingles``, ``class`` (a hash of the whole set; null without words), ``bands``, ``sketch``."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    """``id``, ``text_key`` (a hash of the text), ``n_shingles``, ``high`` and ``low`` (128 bits of a hash of the set; null without words), ``bands``, ``sketch``."""
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("text_key"))
     rng = np.random.default_rng(11)
     factor = rng.integers(0, 1 << 63, s.permutations, dtype=np.uint64) * _U(2) + _U(1)
     shift = rng.integers(0, 1 << 63, s.permutations, dtype=np.uint64)
@@ -83,19 +87,13 @@ def signatures(docs: DataFrame, s: Settings, id_col: str = "doc_id", text_col: s
                 bits[:, : out.shape[1]] = out & _U(1)
                 sketch = np.packbits(bits, axis=1).view(np.int64)
                 at = np.cumsum(size > 0) - 1
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0)[chunk.first : chunk.first + len(chunk)],
-                        pa.array(size),
-                        pa.array(_set_code(code, cut, size[full])).take(pa.array(at, mask=size == 0)),
-                        _lists(bands.view(np.int64), size > 0),
-                        _lists(sketch, size > 0),
-                    ],
-                    ["id", "n_shingles", "class", "bands", "sketch"],
-                )
+                here = slice(chunk.first, chunk.first + len(chunk))
+                hashes = [pa.array(half).take(pa.array(at, mask=size == 0)) for half in _set_codes(code, cut, size[full])]
+                columns = [batch.column(0)[here], batch.column(2)[here], pa.array(size), *hashes, _lists(bands.view(np.int64), size > 0), _lists(sketch, size > 0)]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "text_key", "n_shingles", "high", "low", "bands", "sketch"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(sign, f"id {kind}, n_shingles long, class long, bands array<long>, sketch array<long>")
+    return rows.mapInArrow(sign, f"id {kind}, text_key long, n_shingles long, high long, low long, bands array<long>, sketch array<long>")
 
 
 def _lists(values: np.ndarray, full: np.ndarray) -> pa.Array:
@@ -105,87 +103,122 @@ def _lists(values: np.ndarray, full: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(border), pa.array(values.ravel()))
 
 
-def _set_code(code: np.ndarray, cut: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """A hash of each non-empty set of shingle hashes; the sets lie one after another from ``cut`` on."""
+def _set_codes(code: np.ndarray, cut: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit hashes of each non-empty set of shingle hashes; the sets lie one after another from ``cut`` on."""
     if not len(cut):
-        return np.zeros(0, np.int64)
-    return mix(np.add.reduceat(mix(code), cut) + size.astype(np.uint64)).view(np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    n = size.astype(np.uint64)
+    return tuple(mix(np.add.reduceat(mix(code ^ salt), cut) + n).view(np.int64) for salt in (_U(0), _U(0x5851F42D4C957F2D)))
 
 
 def shingle_table(docs: DataFrame, s: Settings) -> DataFrame:
-    """``class`` and the full set of shingle hashes of each ``text`` that has a word."""
+    """``class`` and the full set of shingle hashes of each row of ``text, class, high, low`` whose text has that hash."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk in chunks(batch.column(0)):
-                found = [x for _, x in shingle_sets(chunk, s.shingle) if len(x)]
-                size = np.array([len(x) for x in found], np.int64)
-                code = np.concatenate([*found, np.zeros(0, np.uint64)])
+                found = list(shingle_sets(chunk, s.shingle))
+                full = np.array([i for i, x in found if len(x)], np.int64)
+                size = np.array([len(x) for _, x in found if len(x)], np.int64)
+                code = np.concatenate([*[x for _, x in found], np.zeros(0, np.uint64)])
                 border = np.append(0, np.cumsum(size)).astype(np.int32)
-                own = pa.array(_set_code(code, border[:-1], size))
-                yield pa.RecordBatch.from_arrays([own, pa.ListArray.from_arrays(pa.array(border), pa.array(code.view(np.int64)))], ["class", "shingles"])
+                high, low = _set_codes(code, border[:-1], size)
+                here = pa.array(chunk.first + full)
+                asked = [batch.column(k).take(here) for k in (1, 2, 3)]
+                same = (asked[1].to_numpy() == high) & (asked[2].to_numpy() == low)
+                both = pa.RecordBatch.from_arrays([asked[0], pa.ListArray.from_arrays(pa.array(border), pa.array(code.view(np.int64)))], ["class", "shingles"])
+                yield both.filter(pa.array(same))
 
-    return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(sets, "class long, shingles array<long>")
+    return docs.select(F.col("text").cast("string").alias("text"), "class", "high", "low").mapInArrow(sets, "class long, shingles array<long>")
 
 
 def near_duplicates(docs: DataFrame, s: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Every row's id, ``n_shingles``, ``class_id``, ``component_id`` and ``kept``.
+    """Every row's id, ``n_shingles``, ``class_id``, ``component_id``, ``kept``, ``first_class`` and ``text_key``.
 
-    ``class_id`` names rows with equal shingle sets; ``component_id`` is the smallest id reachable over links
-    between sets with 100 * intersection >= numerator * union; ``kept`` is true where it is the row's own id.
+    ``class_id`` is a hash shared by rows with equal shingle sets; ``component_id`` is the smallest id reachable over
+    links between sets with 100 * intersection >= numerator * union; ``kept`` is true where it is the row's own id.
+    ``first_class`` marks one class of each component, that of its smallest id; ``text_key`` is the text's xxhash64.
 
     A row with fewer words than a shingle has the whole sequence as its one shingle. A null, empty or blank text
     has no shingle and is linked with nothing: it is its own component and kept. A row with a null id is linked with
     nothing and kept too. Repeated rows all come back, with the same component; rows of one id with different texts
-    are decided each by its own text. Other columns are left out. An empty table gives an empty table.
+    are decided each by its own text. Other columns are left out. An empty table gives an empty table. Long texts are
+    taken whole: a task holds some 100 bytes for each word of the longest one.
     """
     signed = signatures(docs, s, id_col, text_col)
-    signed = saved(signed.withColumn("class", F.when(F.col("id").isNotNull(), F.col("class"))), "signatures")
-    classes = saved(
-        signed.where(F.col("class").isNotNull())
-        .groupBy("class")
-        .agg(F.min("id").alias("id"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands")),
-        "classes",
-    )
+    named = F.col("id").isNotNull()
+    signed = saved(signed.withColumns({"high": F.when(named, F.col("high")), "low": F.when(named, F.col("low"))}), "signatures")
+    classes = signed.where("high is not null").groupBy("high", "low")
+    classes = classes.agg(F.min("id").alias("id"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands"))
+    classes = saved(classes.withColumn("class", F.monotonically_increasing_id()), "classes")
     info = classes.select("class", "n", "sketch")
     keyed = classes.select("class", "id", F.explode("bands").alias("key"))
     hubs = keyed.groupBy("key").agg(F.min(F.struct("id", "class")).alias("first"), F.count("*").alias("size")).where("size > 1")
     members = saved(keyed.join(hubs, "key").select("key", F.col("first.class").alias("hub"), "class"), "members")
 
-    first = members.where("class <> hub").select(F.least("hub", "class").alias("a"), F.greatest("hub", "class").alias("b")).distinct()
-    first = _plausible(first, info, s)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    links, sets = _confirmed(first, classes, texts, s)
-    known = components(links.where("linked").select(F.col("a").alias("u"), F.col("b").alias("v")))
-    known = saved(known, "known")
-
-    placed = members.join(known.select(F.col("node").alias("class"), "component"), "class", "left")
-    placed = placed.withColumn("component", F.coalesce("component", "class"))
-    hub_part = known.select(F.col("node").alias("hub"), F.col("component").alias("hub_component"))
-    placed = placed.join(hub_part, "hub", "left").withColumn("hub_component", F.coalesce("hub_component", "hub"))
-    placed = saved(placed.join(info, "class").select("key", "hub", "class", "component", "hub_component", "n", "sketch"), "placed")
-    linked = links.where("linked")
-    apart = placed.where("component <> hub_component")
-    if not apart.isEmpty():
-        pairs = _across(apart, placed, sets, s).join(links.select("a", "b"), ["a", "b"], "left_anti")
-        more, _ = _confirmed(pairs, classes, texts, s, sets)
-        linked = linked.union(more.where("linked"))
-    groups = components(linked.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    named = classes.select("class", "id").join(groups.select(F.col("node").alias("class"), "component"), "class", "left")
-    named = named.select("class", "id", F.coalesce("component", "class").alias("component"))
-    least = named.groupBy("component").agg(F.min("id").alias("component_id"))
-    owner = named.join(least, "component").select("class", "component_id")
-    found = signed.select("id", "n_shingles", "class").join(owner, "class", "left")
-    alone = F.col("class").isNull()
+    linked, groups = _links(members, info, classes, texts, s)
+    named = classes.select("class", "id", "high", "low").join(groups.select(F.col("node").alias("class"), "component"), "class", "left")
+    named = named.select("id", "high", "low", F.coalesce("component", "class").alias("component"))
+    least = named.groupBy("component").agg(F.min(F.struct("id", "high", "low")).alias("least"))
+    first = (F.col("high") == F.col("least.high")) & (F.col("low") == F.col("least.low"))
+    owner = named.join(least, "component").select("high", "low", F.col("least.id").alias("component_id"), first.alias("first_class"))
+    found = signed.select("id", "text_key", "n_shingles", "high", "low").join(owner, ["high", "low"], "left")
+    alone = F.col("high").isNull()
     return found.select(
         F.col("id").alias(id_col),
         "n_shingles",
-        F.col("class").alias("class_id"),
+        F.col("high").alias("class_id"),
         F.when(alone, F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
         (alone | F.col("id").eqNullSafe(F.col("component_id"))).alias("kept"),
+        (alone | F.col("first_class")).alias("first_class"),
+        "text_key",
     )
 
 
+def _links(members: DataFrame, info: DataFrame, classes: DataFrame, texts: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
+    """Confirmed links (a, b) that connect all that is linked, and the components (node, component) they make."""
+    pairs = members.where("class <> hub").select(F.least("hub", "class").alias("a"), F.greatest("hub", "class").alias("b")).distinct()
+    tested, sets = _confirmed(_plausible(pairs, info, s), classes, texts, s)
+    linked = tested.where("linked").select("a", "b")
+    groups = saved(components(linked.toDF("u", "v")), "components")
+    state = _apart(members, groups, "class")
+    for turn in range(s.turns):
+        if state.isEmpty():
+            return linked, groups
+        more, sets = _confirmed(_plausible(next_hub_pairs(state, turn), info, s), classes, texts, s, sets)
+        new = more.where("linked").select("a", "b")
+        if new.isEmpty():
+            break
+        linked, tested = linked.union(new), tested.union(more)
+        groups = saved(components(linked.toDF("u", "v")), "components")
+        state = _apart(state.select("key", "hub", "class"), groups, "class")
+    if not state.isEmpty():
+        pairs = _across(state, info, sets, s).join(tested.select("a", "b"), ["a", "b"], "left_anti")
+        more, _ = _confirmed(pairs, classes, texts, s, sets)
+        linked = linked.union(more.where("linked").select("a", "b"))
+        groups = saved(components(linked.toDF("u", "v")), "components")
+    return linked, groups
+
+
+def _apart(members: DataFrame, groups: DataFrame, name: str) -> DataFrame:
+    """The members (key, hub, class) of the buckets that lie in several components, with ``component`` and ``hub_component``."""
+    placed = members.join(groups.select(F.col("node").alias(name), "component"), name, "left")
+    placed = saved(placed.select("key", "hub", "class", F.coalesce("component", name).alias("component")), "placed")
+    own = F.max(F.when(F.col("class") == F.col("hub"), F.col("component"))).alias("hub_component")
+    mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), own).where("low < high")
+    return saved(placed.join(saved(mixed.select("key", "hub_component"), "mixed"), "key"), "apart")
+
+
+def next_hub_pairs(state: DataFrame, turn: int) -> DataFrame:
+    """Pairs (a, b) of each bucket's next hub, one of the members outside the first hub's component, with the members of other components."""
+    outside = state.where("component <> hub_component")
+    chosen = outside.groupBy("key").agg(F.min(F.struct(F.xxhash64("class", F.lit(turn)), "class", "component")).alias("next"))
+    chosen = saved(chosen.select("key", F.col("next.class").alias("next"), F.col("next.component").alias("next_component")), "hubs")
+    pairs = state.join(chosen, "key").where("component <> next_component")
+    return pairs.select(F.least("next", "class").alias("a"), F.greatest("next", "class").alias("b")).distinct()
+
+
 def _profiles(members: DataFrame, sets: DataFrame) -> DataFrame:
     """What bounds the intersection of two members of a bucket, for members and hubs whose sets are known.
 
@@ -205,13 +238,13 @@ def _profiles(members: DataFrame, sets: DataFrame) -> DataFrame:
     return known.select("hub", "class", "common", outside.alias("outside"), "hub_n", "lost")
 
 
-def _across(apart: DataFrame, placed: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
+def _across(state: DataFrame, info: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
     """Pairs (a, b) of a bucket's classes in different components that can still be linked; one side is not linked to the hub.
 
     Two members share at most the hub's shingles that neither lacks and what both have outside the hub. Where that is too
     little for the threshold the pair is left out: it can't be a link. This spares near copies with edits of their own.
     """
-    near = placed.join(apart.select("key").distinct(), "key", "left_semi")
+    near = state.join(info, "class")
     near = saved(near.join(_profiles(near, sets), ["hub", "class"], "left"), "profiles")
     x, y = near.where("component <> hub_component").alias("x"), near.alias("y")
     kept = F.col("x.hub_n") - sum((F.bit_count(F.col("x.lost")[i].bitwiseOR(F.col("y.lost")[i])) for i in range(_LOST_WORDS)), F.lit(0))
@@ -245,10 +278,9 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, s: Settin
     pairs = saved(pairs, "pairs")
     used = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
     missing = used if sets is None else used.join(sets, "class", "left_anti")
-    missing = saved(classes.select("class", "id").join(missing, "class").withColumnRenamed("class", "wanted"), "wanted")
+    missing = saved(classes.select("class", "id", "high", "low").join(missing, "class"), "wanted")
     if sets is None or not missing.isEmpty():
         read = shingle_table(texts.join(missing, "id"), s)
-        read = read.join(missing.select(F.col("wanted").alias("class")), "class", "left_semi")
         read = saved(read.groupBy("class").agg(F.first("shingles").alias("shingles")), "sets")
         sets = read if sets is None else sets.union(read)
     left = sets.select(F.col("class").alias("a"), F.col("shingles").alias("set_a"))
@@ -260,10 +292,14 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, s: Settin
 
 
 def without_near_duplicates(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
-    """The rows of ``docs``, all columns, that stay: one document (doc_id, text) of each group, the smallest id.
+    """The rows of ``docs``, all columns, that stay: one document of each group, the smallest id.
 
-    Rows of one id count as one document, of which one row stays when any is kept; rows with a null id stay.
+    Of rows that share an id and a shingle set one stays (the smallest hash of all columns decides). Rows of one id with
+    different texts are different documents: each stays unless its text is in a group of which another text stays.
+    Wordless texts stay, once for each id and text; rows with a null id all stay. Columns may have any names.
     """
-    kept = near_duplicates(docs, s).where("kept and doc_id is not null").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
-    return named.union(docs.where(F.col("doc_id").isNull()))
+    kept = near_duplicates(docs, s).where("kept and first_class and doc_id is not null")
+    kept = kept.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.coalesce("class_id", "text_key").alias("_class")).distinct()
+    named = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").alias("_id"), F.xxhash64(F.col("text").cast("string")).alias("_key"))
+    named = named.join(kept, ["_id", "_key"]).groupBy("_id", "_class").agg(F.min_by("_row", F.xxhash64("_row")).alias("_row"))
+    return named.select("_row.*").union(docs.where(F.col("doc_id").isNull()))

@@ -2,10 +2,13 @@
 
 import random
 
+import ahocorasick
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from gridlake.llm import components, minhash, queries, substrings
+from gridlake.llm import components, minhash, queries, substrings, text
 from tests.llm import brute
 
 SF = "/root/testdata/sf0.001"
@@ -58,8 +61,8 @@ def test_near_duplicates_five_words(spark, docs):
 
 
 def test_near_duplicates_nulls_and_repeats(spark):
-    text = " ".join(f"w{i}" for i in range(40))
-    rows = [(5, text), (5, text), (3, text), (None, text), (9, None), (9, "other words here"), (None, None)]
+    words = " ".join(f"w{i}" for i in range(40))
+    rows = [(5, words), (5, words), (3, words), (None, words), (9, None), (9, "other words here"), (None, None)]
     got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     found = sorted(((r.doc_id, r.component_id, r.kept) for r in got), key=str)
     assert found == sorted([(5, 3, False), (5, 3, False), (3, 3, True), (None, None, True), (9, 9, True), (9, 9, True), (None, None, True)], key=str)
@@ -118,3 +121,77 @@ def test_kept_words_are_whole(spark, docs):
     found = substrings.remove_repeated(spark.read.parquet(f"{docs}/documents.parquet"), substrings.Settings(window=10, phrase=3))
     want = brute.substring_dedup(rows_of(spark, docs), 10)
     assert {r.doc_id: r.kept_text for r in found.where(F.col("doc_id").isNotNull()).collect()} == {i: " ".join(k) for i, (_, _, k) in want.items()}
+
+
+def template_pages(n, slots=10, choices=5, words=200):
+    """Pages of one template whose slots take their words from shared pools: links to any one page are few, chains reach all."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(5))
+    base, pools = [word() for _ in range(words)], [[word() for _ in range(choices)] for _ in range(slots)]
+    out = []
+    for i in range(n):
+        page = list(base)
+        for k in range(slots):
+            page[10 + 19 * k] = rng.choice(pools[k])
+        out.append((i, " ".join(page)))
+    return out
+
+
+def test_template_pages_cost_a_few_confirmations_each(spark, monkeypatch):
+    confirm, counts = minhash._confirmed, []
+
+    def counting(*args):
+        found = confirm(*args)
+        counts.append(found[0].count())
+        return found
+
+    monkeypatch.setattr(minhash, "_confirmed", counting)
+    pages = template_pages(800)
+    got = minhash.near_duplicates(spark.createDataFrame(pages, "doc_id long, text string"), minhash.Settings(shingle=3, numerator=85)).collect()
+    assert {r.doc_id: r.component_id for r in got} == {i: 0 for i, _ in pages}
+    assert sum(counts) < 40 * len(pages)  # all pairs of the buckets are 72,602
+
+
+def test_without_near_duplicates_keeps_texts_of_one_id(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(5, text, "a"), (5, text, "b"), (3, text, "c"), (9, None, "d"), (9, "other words here", "e"), (9, "Other words here", "f"), (9, "third text", "g"), (None, text, "h"), (None, text, "h"), (8, "", "i"), (8, "", "i")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, key string").withColumn("class", F.lit(1)).withColumn("_row", F.lit(2))
+    got = minhash.without_near_duplicates(docs)
+    assert got.columns == docs.columns
+    found = sorted((str(r.doc_id), str(r.text).lower()) for r in got.collect())
+    assert found == sorted([("3", text), ("9", "none"), ("9", "other words here"), ("9", "third text"), ("None", text), ("None", text), ("8", "")])
+    assert minhash.without_near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_passages_are_found_by_the_automaton():
+    """The stored passages of a chunk are located only where the shard's automaton meets their phrase."""
+    s = substrings.Settings(window=10, phrase=3)
+    rng = random.Random(2)
+    body = [rng.choice("abcdefghijklmnopqrstuvwxyz") * 3 for _ in range(60)]
+    chunk = next(text.chunks(pa.array([" ".join(["own", *body]), "x " + " ".join(body)])))
+    found = text.words(chunk)
+    p = substrings.passages(found, s)
+    first = substrings._leftmost(p, p.first, p.anchor, s)
+    short = (found.code >> np.uint64(32)).astype("<u4")
+    here = np.flatnonzero(found.row[p.first] == 0)
+    stored = pa.StructArray.from_arrays(
+        [
+            pa.array([short[first[k] : first[k] + 3].tobytes() for k in here], pa.binary()),
+            pa.array((first - p.first)[here].astype(np.int32)),
+            pa.array((p.windows + s.window - 1)[here].astype(np.int32)),
+            pa.array(p.code[here].view(np.int64)),
+            pa.array([7] * len(here)),
+        ],
+        ["phrase", "left", "size", "code", "owner"],
+    )
+
+    def covered(shard):
+        return sum(len(begin) for begin, _, _ in shard.verified(found))
+
+    shard = substrings.Shard(stored, s)
+    assert covered(shard) >= len(here)
+    shard.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
+    assert covered(shard) == 0
+    other = substrings.Shard(stored, s)
+    other.key = other.key + np.uint64(1)  # an occurrence alone isn't enough: the passage must be the stored one
+    assert covered(other) == 0
