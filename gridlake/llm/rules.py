@@ -1,17 +1,31 @@
 """Quality rules (operator 8) with risk-controlled cutoffs.
 
-Each rule compares one signal of a document with a cutoff of its stratum (the language). Cutoffs come from labelled
-documents: going from the laxest candidate to the strictest, a cutoff is accepted while an exact binomial test rejects
-"the share of good documents it would remove exceeds ``risk``", and the first failure ends the walk (so a stratum's
-candidates need no further correction). The tests of all strata and rules share the error probability by a Bonferroni
-correction. With too few labels no cutoff passes and the rule is off in that stratum.
+Each rule compares one signal of a document with a cutoff of its stratum (the language). Cutoffs are chosen with labelled
+documents, which serve as the holdout: nothing else is fitted to them.
+
+1. Path. The rules' candidate cutoffs, from lax to strict and rule after rule, are the steps of one path. Steps that
+   remove too few further documents labelled bad (``gain``) are left out. Only the bad labels decide this, so the good
+   ones stay untouched for the tests.
+2. Tests. Going along the path, a step is taken while an exact binomial test rejects "the rules taken so far remove more
+   than ``risk`` of the stratum's good documents"; the first failure ends the walk. All rules of a stratum are tested
+   together, so ``risk`` bounds a stratum's false rejections in total, and fixed-sequence testing needs no correction
+   within a stratum. The error probability is shared by the strata (Bonferroni).
+3. Small strata. A stratum with too few good labels to pass any test belongs to one pooled stratum. The counts of labels
+   decide this, not the outcomes.
+
+Good labels that a first step needs when it removes none of them (error 0.05):
+
+    strata tested        1    2    4    8
+    risk 0.01          299  368  437  505
+    risk 0.02          149  183  217  252
+    risk 0.05           59   72   86   99
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from math import lgamma, log, log1p
+from math import ceil, lgamma, log, log1p
 
 import numpy as np
 import pandas as pd
@@ -37,15 +51,26 @@ class Rule:
     candidates: tuple[float, ...]
 
 
-# The rules and their candidate cutoffs.
+# The rules, the most telling first, and their candidate cutoffs.
 RULES = (
     Rule("symbols_per_word", "n_symbols / n_words", (4.0, 3.0, 2.0, 1.5, 1.0, 0.8, 0.6, 0.5, 0.4, 0.3, 0.2, 0.1)),
+    Rule("long_words", "word_chars / n_words", (40.0, 30.0, 20.0, 16.0, 14.0, 12.0, 11.0, 10.0)),
     Rule("dup_line_share", "n_dup_lines / n_lines", (0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.2, 0.1)),
     Rule("repeat_share", "n_repeat_words / n_words", (0.2, 0.15, 0.1, 0.08, 0.06, 0.04)),
-    Rule("long_words", "word_chars / n_words", (40.0, 30.0, 20.0, 16.0, 14.0, 12.0, 11.0, 10.0)),
 )
 
 
+@dataclass(frozen=True)
+class Settings:
+    """``risk``: the share of a stratum's good documents that all rules together may remove; ``error``: the probability that any
+    stratum exceeds it; ``gain``: the share of the stratum's bad documents that a step must remove besides those gone before."""
+
+    risk: float = 0.02
+    error: float = 0.05
+    gain: float = 0.01
+    rules: tuple[Rule, ...] = RULES
+
+
 def signals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str | None = "lang") -> DataFrame:
     """Each row's id, ``stratum`` and counts over its whole text.
 
@@ -106,47 +131,91 @@ def exceeds_risk_rejected(removed: int, good: int, risk: float, error: float) ->
     return bool(np.exp(terms - terms.max()).sum() * np.exp(terms.max()) <= error)
 
 
-def cutoffs(measured: DataFrame, labels: DataFrame, risk: float = 0.003, error: float = 0.05, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """For each stratum its accepted cutoff of every rule (null: off), from all documents labelled good (quality 1).
+def labels_needed(risk: float, error: float) -> int:
+    """The fewest good labels with which a step that removes none of them passes."""
+    return ceil(log(error) / log1p(-risk))
+
+
+def walk(levels: np.ndarray, good: np.ndarray, count: np.ndarray, s: Settings, error: float) -> list[float | None]:
+    """The accepted cutoff of each rule (None: off) for one stratum.
+
+    Its labelled documents are given as groups: ``levels`` (groups x rules), how many of a rule's candidates each exceeds;
+    ``good``; and ``count``, their number.
+    """
+    n_good, n_bad = int(count[good].sum()), int(count[~good].sum())
+    taken = np.zeros(len(s.rules), int)  # candidates in force, 0: the rule is off
+    gone = np.zeros(len(count), bool)
+    for r, rule in enumerate(s.rules):
+        for step in range(1, len(rule.candidates) + 1):
+            after = gone | (levels[:, r] > len(rule.candidates) - step)  # exceeds this candidate, so all stricter ones
+            if count[~good & after].sum() - count[~good & gone].sum() < max(1, s.gain * n_bad):
+                continue
+            if not exceeds_risk_rejected(int(count[good & after].sum()), n_good, s.risk, error):
+                return _cutoffs_of(taken, s)
+            gone, taken[r] = after, step
+    return _cutoffs_of(taken, s)
+
+
+def _cutoffs_of(taken: np.ndarray, s: Settings) -> list[float | None]:
+    return [rule.candidates[k - 1] if k else None for rule, k in zip(s.rules, taken.tolist(), strict=True)]
+
+
+def _signal(rule: Rule) -> str:
+    over, under = rule.signal.split(" / ")
+    return f"try_divide({over}, {under})"
+
+
+BASE_FAILED = "(n_words < 10 or 100 * n_repeat_words > 20 * n_words)"
+
+
+def cutoffs(measured: DataFrame, labels: DataFrame, s: Settings = Settings()) -> DataFrame:
+    """``stratum``, ``pooled``, ``good`` (labels) and a cutoff of every rule (null: off): a row for each stratum of its own, one for the pooled.
 
-    The counts for the tests come from one pre-aggregated pass: a row for each stratum, however many labels there are.
+    Documents that fail the base are no part of the tests: the rules don't decide on them. An id with both labels has
+    none; of rows with one id the strictest count. What leaves the labelled rows are counts of groups, as many a stratum
+    as there are combinations of candidates at most, so no task or driver holds the labels.
     """
-    good = labels.where(F.col("quality") == 1).select("doc_id").distinct()
-    seen = measured.join(good, "doc_id", "left_semi").where("n_words > 0")
-    sums = [F.sum(F.when(F.expr(r.signal) > x, 1).otherwise(0)).alias(f"{r.name}_{j}") for r in rules for j, x in enumerate(r.candidates)]
-    table = saved(seen.where("n_lines > 0").groupBy("stratum").agg(F.count("*").alias("good"), *sums), "strata")
-    level = error / max(1, table.count() * len(rules))
-
-    def choose(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            out = pd.DataFrame({"stratum": frame["stratum"]})
-            for rule in rules:
-                chosen = []
-                for row in frame.to_dict("records"):
-                    best = None
-                    for j, x in enumerate(rule.candidates):
-                        if not exceeds_risk_rejected(int(row[f"{rule.name}_{j}"]), int(row["good"]), risk, level):
-                            break
-                        best = x
-                    chosen.append(best)
-                out[rule.name] = pd.array(chosen, dtype="Float64")
-            yield out
-
-    return table.mapInPandas(choose, "stratum string, " + ", ".join(f"{r.name} double" for r in rules))
-
-
-def verdicts(docs: DataFrame, labels: DataFrame, risk: float = 0.003, error: float = 0.05, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    one = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("low"), F.max("quality").alias("high"))
+    one = one.where("low = high and low in (0, 1)").select("doc_id", (F.col("low") == 1).alias("good"))
+    level = {r.name: sum((F.coalesce((F.expr(_signal(r)) > x).cast("int"), F.lit(0)) for x in r.candidates), F.lit(0)) for r in s.rules}
+    seen = measured.where(f"not {BASE_FAILED}").join(one, "doc_id").select("doc_id", "stratum", "good", *[c.alias(name) for name, c in level.items()])
+    seen = seen.groupBy("doc_id", "good").agg(F.min("stratum").alias("stratum"), *[F.max(name).alias(name) for name in level])
+    table = saved(seen.groupBy("stratum", "good", *level).agg(F.count("*").alias("n")), "strata")
+    sizes = table.groupBy("stratum").agg(F.sum(F.when(F.col("good"), F.col("n")).otherwise(0)).alias("labels"))
+    tests = sizes.where(F.col("labels") >= labels_needed(s.risk, s.error)).count() + 1
+    error = s.error / tests
+    sizes = sizes.select(F.col("stratum").alias("own"), (F.col("labels") < labels_needed(s.risk, error)).alias("pooled"))
+    parts = table.join(sizes, F.col("stratum").eqNullSafe(F.col("own")))
+    parts = parts.groupBy("pooled", F.when(~F.col("pooled"), F.col("stratum")).alias("stratum"), "good", *level).agg(F.sum("n").alias("n"))
+    names = list(level)
+
+    def choose(frame: pd.DataFrame) -> pd.DataFrame:
+        found = walk(frame[names].to_numpy(), frame["good"].to_numpy(bool), frame["n"].to_numpy(), s, error)
+        out = pd.DataFrame({"stratum": [frame["stratum"].iloc[0]], "pooled": [bool(frame["pooled"].iloc[0])], "good": [int(frame.loc[frame["good"], "n"].sum())]})
+        return out.assign(**{name: pd.array([x], dtype="Float64") for name, x in zip(names, found, strict=True)})
+
+    schema = "stratum string, pooled boolean, good long, " + ", ".join(f"{name} double" for name in names)
+    return parts.groupBy("pooled", "stratum").applyInPandas(choose, schema)
+
+
+def verdicts(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> DataFrame:
     """Every row's counts, ``base_failed``, ``failed_rules`` (array) and ``kept``.
 
     ``base_failed``: fewer than 10 words, or more than a fifth of the words repeated. A null or empty text fails the
-    base. Repeated rows are judged each; a null id has no label. Columns of ``docs`` other than doc_id, text and lang
-    are left out. Empty tables give empty tables; without labels only the base counts.
+    base. Repeated rows are judged each; a null id has no label; a null language is the stratum of nulls. Long texts are
+    measured whole: a task holds some 100 bytes for each word of the longest one. Columns of ``docs`` other than
+    doc_id, text and lang are left out. Empty tables give empty tables; without labels only the base counts.
     """
     measured = saved(signals(docs), "signals")
-    chosen = cutoffs(measured, labels, risk, error, rules).withColumnRenamed("stratum", "own")
-    both = measured.join(chosen, measured["stratum"].eqNullSafe(chosen["own"]), "left")
-    failed = F.array_compact(
-        F.array(*[F.when((F.col("n_words") > 0) & (F.col("n_lines") > 0) & (F.expr(f"try_divide({r.signal.replace(' / ', ', ')})") > F.col(r.name)), F.lit(r.name)) for r in rules])
+    chosen = saved(cutoffs(measured, labels, s), "cutoffs")
+    pooled = chosen.where("pooled").first()  # one row at most, a number for each rule
+    own = chosen.where("not pooled").select(F.col("stratum").alias("own"), F.lit(True).alias("has_own"), *[r.name for r in s.rules])
+    both = measured.join(own, measured["stratum"].eqNullSafe(own["own"]), "left")
+    failed = []
+    for r in s.rules:
+        cutoff = F.when(F.col("has_own"), F.col(r.name)).otherwise(F.lit(pooled[r.name] if pooled else None).cast("double"))
+        failed.append(F.when(F.expr(_signal(r)) > cutoff, F.lit(r.name)))
+    base = F.expr(BASE_FAILED)
+    return both.select("doc_id", *SIGNALS, base.alias("base_failed"), F.array_compact(F.array(*failed)).alias("failed_rules")).withColumn(
+        "kept", ~F.col("base_failed") & (F.size("failed_rules") == 0)
     )
-    base = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    return both.select("doc_id", *SIGNALS, base.alias("base_failed"), failed.alias("failed_rules"), (~base & (F.size(failed) == 0)).alias("kept"))

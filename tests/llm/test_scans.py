@@ -1,5 +1,6 @@
 """Operators 5, 8 and 10 against plain versions, and their edge cases."""
 
+import math
 import re
 
 import pytest
@@ -89,16 +90,75 @@ def test_quality_counts(spark, docs, fixture):
         assert r.kept == (not r.base_failed and not r.failed_rules)
 
 
-def test_cutoffs_hold_the_risk(spark):
+def test_exact_binomial_test():
+    exact = sum(math.comb(50, i) * 0.1**i * 0.9 ** (50 - i) for i in range(2))
+    assert rules.exceeds_risk_rejected(1, 50, 0.1, exact * 1.0001) and not rules.exceeds_risk_rejected(1, 50, 0.1, exact * 0.9999)
+    assert rules.exceeds_risk_rejected(0, 3000, 0.005, 0.0001) and not rules.exceeds_risk_rejected(14, 3000, 0.005, 0.05)
+    for risk in (0.01, 0.02, 0.05):
+        n = rules.labels_needed(risk, 0.0125)
+        assert rules.exceeds_risk_rejected(0, n, risk, 0.0125) and not rules.exceeds_risk_rejected(0, n - 1, risk, 0.0125)
+
+
+def plain_cutoffs(rows, s):
+    """{stratum or None for the pooled: cutoffs}, from (stratum, good, signals by rule) of the labelled documents that pass the base."""
+
+    def share_above_ruled_out(removed, n, level):
+        return n > 0 and removed < n * s.risk and sum(math.comb(n, i) * s.risk**i * (1 - s.risk) ** (n - i) for i in range(removed + 1)) <= level
+
+    strata = {x[0] for x in rows}
+    n_good = {x: sum(good for y, good, _ in rows if y == x) for x in strata}
+    level = s.error / (1 + sum(share_above_ruled_out(0, n_good[x], s.error) for x in strata))
+    own = {x for x in strata if share_above_ruled_out(0, n_good[x], level)}
+    out = {}
+    for part in [*own, None]:
+        inside = [(good, v) for x, good, v in rows if (x if x in own else None) == part]
+        bad_all, chosen, stop = sum(not good for good, _ in inside), {}, False
+        n = len(inside) - bad_all
+        for rule in s.rules:
+            for x in () if stop else rule.candidates:
+                fails = lambda v, c: any(v[name] > y for name, y in c.items())
+                after = chosen | {rule.name: x}
+                more = sum(not good and fails(v, after) and not fails(v, chosen) for good, v in inside)
+                if more < max(1, s.gain * bad_all):
+                    continue
+                if not share_above_ruled_out(sum(good and fails(v, after) for good, v in inside), n, level):
+                    stop = True
+                    break
+                chosen = after
+        out[part] = [chosen.get(rule.name) for rule in s.rules]
+    return out
+
+
+@pytest.mark.parametrize("risk", [0.02, 0.05])
+def test_cutoffs_against_a_plain_version(spark, risk):
+    """Every cutoff again from the labelled texts of a table; and the rules change verdicts where labels allow."""
+    sf, s = "/root/testdata/sf0.01", rules.Settings(risk=risk)
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    rows = []
+    for r in docs.join(labels, "doc_id").select("text", "lang", "quality").collect():
+        n, chars, symbols, dup, repeat, failed = brute.quality_counts(r.text)
+        if not failed:
+            n_lines = sum(bool(brute.words(x)) for x in r.text.split("\n"))
+            rows.append((r.lang, r.quality == 1, {"symbols_per_word": symbols / n, "long_words": chars / n, "dup_line_share": dup / n_lines, "repeat_share": repeat / n}))
+    want = plain_cutoffs(rows, s)
+    measured = rules.signals(docs).cache()
+    got = {None if r.pooled else r.stratum: [r[x.name] for x in s.rules] for r in rules.cutoffs(measured, labels, s).collect()}
+    assert got == want and got["en"][0] is not None
+    judged = rules.verdicts(docs, labels, s).select("kept", "base_failed", "failed_rules").collect()
+    assert sum(not r.kept and not r.base_failed for r in judged) > 20
+    assert {x for r in judged for x in r.failed_rules} <= {x.name for x in s.rules}
+
+
+def test_cutoffs_of_few_and_odd_labels(spark):
     rule = rules.Rule("symbols_per_word", "n_symbols / n_words", (3.0, 2.0, 1.0, 0.5))
-    rows = [(i, "en", 100, 500, 60 if i % 100 == 0 else 10, 0, 0, 5) for i in range(3000)] + [(5000, "de", 100, 1, 1, 0, 0, 5)]
+    rows = [(i, "en", 100, 500, 60 if i % 100 == 0 else 10, 0, 0, 5) for i in range(3000)]
+    rows += [(10000 + i, "en", 100, 500, 70 + 60 * (i % 4), 0, 0, 5) for i in range(40)] + [(5000, "de", 100, 1, 1, 0, 0, 5), (5001, None, 100, 1, 400, 0, 0, 5)]
     measured = spark.createDataFrame(rows, "doc_id long, stratum string, " + ", ".join(f"{s} long" for s in rules.SIGNALS))
-    labels = spark.createDataFrame([(i, 1) for i in [*range(3000), 5000]], "doc_id long, quality int")
-    got = {r.stratum: r.symbols_per_word for r in rules.cutoffs(measured, labels, risk=0.005, rules=(rule,)).collect()}
-    assert got == {"en": 1.0, "de": None}  # 1 % lie above 0.5; one label proves nothing
-    assert rules.exceeds_risk_rejected(0, 3000, 0.005, 0.0001) and not rules.exceeds_risk_rejected(14, 3000, 0.005, 0.05)
-    exact = sum(__import__("math").comb(50, i) * 0.1**i * 0.9 ** (50 - i) for i in range(2))
-    assert rules.exceeds_risk_rejected(1, 50, 0.1, exact * 1.0001) and not rules.exceeds_risk_rejected(1, 50, 0.1, exact * 0.9999)
+    marks = [(i, 1) for i in [*range(3000), 5000]] + [(10000 + i, 0) for i in range(40)] + [(5001, 0), (5001, 1), (None, 1), (17, None)]
+    labels = spark.createDataFrame(marks, "doc_id long, quality int")
+    got = {r.stratum: r.symbols_per_word for r in rules.cutoffs(measured, labels, rules.Settings(risk=0.005, rules=(rule,))).collect()}
+    assert got == {"en": 1.0, None: None}  # 1 % lie above 0.5; one label proves nothing
+    assert rules.cutoffs(measured, labels.limit(0)).count() == 0
 
 
 @pytest.mark.parametrize("fixture", ["own", "sf"])
