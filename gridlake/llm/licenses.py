@@ -1,14 +1,16 @@
 """License scans (operator 10), with DataFrame functions only.
 
 A text is lower-cased (A-Z) and its words joined by single spaces. Ordered signature rules (regular expressions over
-that form) run only on texts that hold the rule's keyword. A detection inside another's interval is suppressed when
-the other has the higher priority, or the same priority and is longer, or else comes first.
+that form, matching whole words) run only on texts that hold one of the rule's keywords. A detection is a range of words.
+One that lies inside another's is suppressed when the other has the higher priority, or the same priority and is
+longer, or has the same range and comes first. Every step takes time in proportion to the text's length.
 """
 
 from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +21,8 @@ BASE = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights rese
 
 @dataclass(frozen=True)
 class Signature:
+    """A text that ``pattern`` matches holds one of ``keywords`` at the start of a word; more of ``priority`` wins."""
+
     label: str
     keywords: tuple[str, ...]
     pattern: str
@@ -26,6 +30,170 @@ class Signature:
     confidence: float
 
 
+# What licenses, notices and warranty lines say, in the words that the scan sees: label, keyword, pattern.
+GRANTS = """
+gpl-2-or-later | free software you can | is free software you can redistribute it and or modify it under the terms of the gnu general public licen[sc]e as published by the free software foundation either version 2 of the licen[sc]e or at your option any later version
+gpl-3-or-later | free software you can | is free software you can redistribute it and or modify it under the terms of the gnu general public licen[sc]e as published by the free software foundation either version 3 of the licen[sc]e or at your option any later version
+gpl-2-only | free software you can | is free software you can redistribute it and or modify it under the terms of the gnu general public licen[sc]e version 2(?: only)? as published by the free software foundation
+gpl-3-only | free software you can | is free software you can redistribute it and or modify it under the terms of the gnu general public licen[sc]e version 3(?: only)? as published by the free software foundation
+gpl | free software you can | is free software you can redistribute it and or modify it under the terms of the gnu general public licen[sc]e
+lgpl-2-or-later | free software you can | is free software you can redistribute it and or modify it under the terms of the gnu library general public licen[sc]e as published by the free software foundation either version 2 of the licen[sc]e or at your option any later version
+lgpl-2.1-or-later | free software you can | is free software you can redistribute it and or modify it under the terms of the gnu lesser general public licen[sc]e as published by the free software foundation either version 2 1 of the licen[sc]e or at your option any later version
+lgpl-3-or-later | free software you can | is free software you can redistribute it and or modify it under the terms of the gnu lesser general public licen[sc]e as published by the free software foundation either version 3 of the licen[sc]e or at your option any later version
+lgpl | free software you can | is free software you can redistribute it and or modify it under the terms of the gnu (?:lesser|library) general public licen[sc]e
+agpl-3-or-later | free software you can | is free software you can redistribute it and or modify it under the terms of the gnu affero general public licen[sc]e as published by the free software foundation either version 3 of the licen[sc]e or at your option any later version
+agpl | free software you can | is free software you can redistribute it and or modify it under the terms of the gnu affero general public licen[sc]e
+gfdl | permission is granted to copy | permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation licen[sc]e
+gfdl | with no invariant | with no invariant sections no front cover texts and no back cover texts
+gpl-2-exception-autoconf | as a special exception to | as a special exception to the gnu general public licen[sc]e if you distribute this file as part of a program that contains a configuration script generated by autoconf
+gpl-2-exception-bison | as a special exception you | as a special exception you may create a larger work that contains part or all of the bison parser skeleton
+gpl-2-exception-classpath | as a special exception the | as a special exception the copyright holders of this library give you permission to link this library with independent modules to produce an executable
+apache-2 | licensed under the apache | licensed under the apache licen[sc]e version 2 0 the licen[sc]e you may not use this file except in compliance with the licen[sc]e
+apache-2 | you may obtain a copy | you may obtain a copy of the licen[sc]e at (?:http|https) www apache org licen[sc]es licen[sc]e 2 0
+apache-2 | licenses this file;licences this file | licen[sc]es this file to you under the apache licen[sc]e version 2 0
+apache-2 | licensed to the apache | licensed to the apache software foundation asf under one or more contributor licen[sc]e agreements
+apache-2 | each contributor hereby | subject to the terms and conditions of this licen[sc]e each contributor hereby grants to you a perpetual worldwide non exclusive no charge royalty free irrevocable except as stated in this section patent licen[sc]e
+apache-2 | grant of copyright | grant of copyright licen[sc]e subject to the terms and conditions of this licen[sc]e each contributor hereby grants to you
+apache-1.1 | this product includes software | this product includes software developed by the apache software foundation
+apache-1.1 | the names apache | the names apache and apache software foundation must not be used to endorse or promote products derived from this software
+mit | permission is hereby granted | permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction
+mit | the above copyright | the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software
+mit-0 | permission is hereby granted | permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so the software is provided as is
+mit-modern | permission is hereby granted | permission is hereby granted without written agreement and without licen[sc]e or royalty fees to use copy modify and distribute this software
+x11 | except as contained | except as contained in this notice the name of the x consortium shall not be used in advertising
+isc | permission to use | permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies
+0bsd | permission to use | permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted
+hpnd | permission to use | permission to use copy modify and distribute this software and its documentation for any purpose and without fee is hereby granted
+bsd | redistribution and use | redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met
+bsd | redistributions of source | redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer
+bsd | redistributions in binary | redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation
+bsd-3-clause | neither the name | neither the names? of .{1,80}? nor the names of its contributors may be used to endorse or promote products derived from this software
+bsd-3-clause | the name of the author | the name of the author may not be used to endorse or promote products derived from this software without specific prior written permission
+bsd-4-clause | all advertising materials | all advertising materials mentioning features or use of this software must display the following acknowledge?ment
+bsd-3-clause-clear | no express or implied licenses | no express or implied licenses to any party s patent rights are granted by this licen[sc]e
+mpl-2 | subject to the terms of the mozilla | this source code form is subject to the terms of the mozilla public licen[sc]e v 2 0
+mpl-2 | if a copy of the mpl | if a copy of the mpl was not distributed with this file you can obtain one at
+mpl-2 | incompatible with secondary | this source code form is incompatible with secondary licen[sc]es as defined by the mozilla public licen[sc]e v 2 0
+mpl-1.1 | the contents of this file | the contents of this file are subject to the mozilla public licen[sc]e version 1 1
+mpl-1 | the contents of this file | the contents of this file are subject to the mozilla public licen[sc]e version 1 0
+npl-1.1 | the contents of this file | the contents of this file are subject to the netscape public licen[sc]e version 1 1
+cddl-1 | the contents of this file | the contents of this file are subject to the terms of the common development and distribution licen[sc]e
+epl-1 | this program and the accompanying | this program and the accompanying materials are made available under the terms of the eclipse public licen[sc]e v ?1 0
+epl-2 | this program and the accompanying | this program and the accompanying materials are made available under the terms of the eclipse public licen[sc]e v ?2 0
+cpl-1 | the accompanying program | the accompanying program is provided under the terms of this common public licen[sc]e
+ipl-1 | the accompanying program | the accompanying program is provided under the terms of this ibm public licen[sc]e
+eupl-1.2 | licensed under the eupl | licensed under the eupl version 1 2 or as soon they will be approved by the european commission
+eupl-1.1 | licensed under the eupl | licensed under the eupl version 1 1 or as soon they will be approved by the european commission
+bsl-1 | distributed under the boost | distributed under the boost software licen[sc]e version 1 0
+bsl-1 | permission is hereby granted | permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this licen[sc]e
+artistic-2 | everyone is permitted | everyone is permitted to copy and distribute verbatim copies of this licen[sc]e document but changing it is not allowed preamble this licen[sc]e establishes the terms under which a given free software package
+artistic-1-perl | under the same terms as perl | (?:may|can) (?:redistribute|distribute) it and or modify it under the same terms as perl(?: itself)?
+perl | under the same terms as perl | under the same terms as perl(?: itself)?
+gnu-document | everyone is permitted | everyone is permitted to copy and distribute verbatim copies of this licen[sc]e document but changing it is not allowed
+wtfpl-2 | everyone is permitted | everyone is permitted to copy and distribute verbatim or modified copies of this licen[sc]e document and changing it is allowed as long as the name is changed
+wtfpl-2 | you just do what | you just do what the fuck you want to
+zlib | altered source versions | altered source versions must be plainly marked as such and must not be misrepresented as being the original software
+zlib | this software is provided as is | this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software
+zlib | the origin of this software | the origin of this software must not be misrepresented you must not claim that you wrote the original software
+libpng | this copy of the libpng | this copy of the libpng notices is provided for your convenience
+unlicense | free and unencumbered | this is free and unencumbered software released into the public domain
+unlicense | anyone is free to copy | anyone is free to copy modify publish use compile sell or distribute this software
+cc0-1 | to the extent possible | to the extent possible under law .{1,80}? has waived all copyright and related or neighbou?ring rights
+cc0-1 | waives all copyright | waives all copyright and related or neighbou?ring rights
+public-domain | has been put in the public;hereby placed in the public;placed in the public | (?:has been put|is hereby placed|was placed|placed) in the public domain
+public-domain | this work is in the public;this file is in the public | this (?:work|file) is in the public domain
+public-domain | no copyright is claimed | no copyright is claimed in the united states
+public-domain | not subject to copyright | not subject to copyright protection
+ofl-1.1 | this font software is licensed | this font software is licensed under the sil open font licen[sc]e version 1 1
+ofl-1.1 | reserved font name | with reserved font names?
+odbl-1 | made available under the open database | made available under the open database licen[sc]e
+odc-by-1 | open data commons attribution | open data commons attribution licen[sc]e
+pddl-1 | public domain dedication | open data commons public domain dedication and licen[sc]e
+psf-2 | python software foundation | 1 this licen[sc]e agreement is between the python software foundation
+psf-2 | psf hereby grants | psf hereby grants licensee a nonexclusive royalty free world wide licen[sc]e
+ruby | under the terms of ruby | under the terms of ruby s licen[sc]e
+php-3.01 | this source file is subject | this source file is subject to version 3 01 of the php licen[sc]e
+php-3 | this source file is subject | this source file is subject to version 3 0 of the php licen[sc]e
+w3c | by obtaining using and or copying | by obtaining using and or copying this work you the licensee agree that you have read understood and will comply
+ijg | the independent jpeg | this software is based in part on the work of the independent jpeg group
+openssl | developed by the openssl | this product includes software developed by the openssl project for use in the openssl toolkit
+ssleay | cryptographic software written | this product includes cryptographic software written by eric young
+icu | unicode inc licen;unicode license;unicode licence | unicode (?:inc )?licen[sc]e agreement
+curl | permission to use | permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice
+ms-pl | this license governs;this licence governs | this licen[sc]e governs use of the accompanying software if you use the software you accept this licen[sc]e
+beerware | as long as you retain | as long as you retain this notice you can do whatever you want with this stuff
+json | shall be used for good | the software shall be used for good not evil
+vim | vim is charityware | vim is charityware
+sspl-1 | server side public | server side public licen[sc]e(?: version 1)?
+busl-1.1 | business source license;business source licence | business source licen[sc]e(?: 1 1)?
+elastic-2 | elastic license;elastic licence | elastic licen[sc]e(?: 2 0)?
+commons-clause | commons clause | commons clause licen[sc]e condition
+polyform | polyform | polyform (?:noncommercial|small business|shield|strict|internal use) licen[sc]e
+cecill-2 | cecill | governed by the cecill licen[sc]e under french law
+cecill-b | cecill | governed by the cecill b licen[sc]e under french law
+cecill-c | cecill | governed by the cecill c licen[sc]e under french law
+upl-1 | universal permissive | universal permissive licen[sc]e(?: v ?1 0)?
+ncsa | university of illinois | university of illinois ncsa open source licen[sc]e
+ecl-2 | educational community | educational community licen[sc]e version 2 0
+qpl-1 | q public license;q public licence | q public licen[sc]e(?: version 1 0)?
+sleepycat | redistributions in any form | redistributions in any form must be accompanied by information on how to obtain complete source code
+cc-by-4.0 | attribution 4 0 | creative commons attribution 4 0 international public licen[sc]e
+cc-by-sa-4.0 | attribution sharealike 4;attribution share alike 4 | creative commons attribution share ?alike 4 0 international public licen[sc]e
+cc-by | this work is licensed under;this article is licensed under | this (?:work|article) is licensed under a creative commons attribution
+cc-by | distributed under the terms | open access article distributed under the terms (?:and conditions )?of the creative commons attribution
+cc-by-nc | non commercial use | permits non commercial use distribution and reproduction in any medium
+cc-by | unrestricted use | permits unrestricted use distribution and reproduction in any medium provided the original work is properly cited
+free-art | free art license;free art licence | free art licen[sc]e(?: 1 3)?
+llama | llama 2 community;llama 3 community | llama [23] community licen[sc]e agreement
+openrail | openrail | (?:creativeml |bigscience )?openrail m(?: licen[sc]e)?
+"""
+# The same for lines that tell less: copyright notices, reservations, disclaimers, confidentiality.
+NOTICES = """
+copyright | copyright | copyright c? ?(?:19|20)[0-9][0-9]
+copyright | copyright | copyright c (?:by )?the authors?
+copyright | the copyright | the copyright (?:holder|holders|owner|owners)
+reserved | some rights | some rights reserved
+reserved | all rights | all rights are reserved
+reserved | tous droits | tous droits r[eé]serv[eé]s
+reserved | alle rechte | alle rechte vorbehalten
+reserved | todos los derechos | todos los derechos reservados
+no-copying | no part of this | no part of this (?:publication|document|work|book) may be reproduced
+no-copying | may not be reproduced | may not be reproduced in any form without
+no-copying | without the prior written | without the prior written (?:permission|consent) of
+no-copying | reproduction in whole | reproduction in whole or in part (?:without|is prohibited)
+proprietary | proprietary | proprietary and confidential
+proprietary | trade secrets | (?:contains|contain) trade secrets
+proprietary | unauthorized copying;unauthorised copying | unauthori[sz]ed copying of this (?:file|software|document)
+proprietary | strictly prohibited | via any medium is strictly prohibited
+proprietary | this software is the confidential | this software is the confidential and proprietary information of
+proprietary | for internal use | for internal use only
+eula | end user | end user licen[sc]e agreement
+eula | by installing | by installing (?:or using )?(?:the|this) software you (?:agree|accept)
+terms | terms of service | (?:subject to|accept) (?:the|our) terms of service
+terms | terms of use | (?:subject to|accept) (?:the|our) terms of use
+disclaimer-mit | the software is provided | the software is provided as is without warranty of any kind express or implied
+disclaimer-mit | in no event shall the authors | in no event shall the authors or copyright holders be liable for any claim damages or other liability
+disclaimer-bsd | this software is provided by | this software is provided by .{1,80}? as is and any express or implied warranties
+disclaimer-bsd | in no event shall | in no event shall .{1,80}? be liable for any direct indirect incidental special exemplary or consequential damages
+disclaimer-gpl | without any warranty | in the hope that it will be useful but without any warranty
+disclaimer-gpl | merchantability or fitness | without even the implied warranty of merchantability or fitness for a particular purpose
+disclaimer-gpl | you should have received | you should have received a copy of the gnu (?:lesser |library |affero )?general public licen[sc]e
+disclaimer-gpl | there is no warranty | there is no warranty for the program to the extent permitted by applicable law
+disclaimer-apache | unless required by | unless required by applicable law or agreed to in writing software distributed under the licen[sc]e is distributed on an as is basis
+disclaimer-apache | without warranties or | without warranties or conditions of any kind either express or implied
+disclaimer | as is without | as is without (?:any )?(?:express or implied )?warrant(?:y|ies)
+disclaimer | no warranty | (?:with|comes with) (?:absolutely )?no warranty
+disclaimer | use at your own | use at your own risk
+see-license | see the license;see the licence | see the licen[sc]e file
+see-license | see license;see licence;see copying | see (?:licen[sc]e|copying)(?: txt| md)? for (?:details|more information)
+dual | dual licensed;dual licenced | dual licen[sc]ed under
+dual | at your option | (?:or|and) at your option
+choice | licensed under either | licensed under either of
+free-use | free for;free to use | free (?:for|to use for) (?:personal|academic|non ?commercial|educational) use
+free-use | may be freely | may be freely (?:used|copied|distributed|redistributed)
+"""
+
+
 # License families: label, names (words as the scan sees them), versions, keyword of the prefilter.
 # Each text that a rule matches holds one of its keywords at the start of a word; versions may be joined to a name ("mplv2").
 FAMILIES = (
@@ -76,12 +244,16 @@ def _number(version: str) -> str:
 
 
 def signatures() -> tuple[Signature, ...]:
-    """All rules in order, built from the tables above: families, their versions, "or later" forms, BSD and CC kinds, tags."""
+    """All rules in order: the written ones, then names of families with their versions, "or later" forms, BSD and CC kinds, links, tags."""
     out: list[Signature] = []
 
     def add(label: str, keywords: str, pattern: str, priority: int, confidence: float) -> None:
         out.append(Signature(label, tuple(keywords.split(";")), f"(?<= )(?:{pattern})(?= )", priority, confidence))
 
+    for table, priority, confidence in ((GRANTS, 20, 0.98), (NOTICES, 1, 0.5)):
+        for line in table.strip().splitlines():
+            label, keywords, pattern = (part.strip() for part in line.split(" | "))
+            add(label, keywords, pattern, priority, confidence)
     for label, names, versions, keywords in FAMILIES:
         weak = label in ("copyright", "licensed", "proprietary", "artistic")
         if label not in ("artistic", "apache"):
@@ -127,68 +299,96 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def _let(value: str, name: str, body: str) -> str:
+    """SQL: ``body`` with ``name`` standing for ``value``, which is evaluated once."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
+def _any_prefix(words: list[str]) -> str:
+    """A regular expression that matches where one of the strings begins; shared beginnings are tried once."""
+    if "" in words:
+        return ""
+    branches = [re.escape(first) + _any_prefix([w[1:] for w in words if w[0] == first]) for first in sorted({w[0] for w in words})]
+    return branches[0] if len(branches) == 1 else f"(?:{'|'.join(branches)})"
+
+
+def _base_places() -> str:
+    """SQL: (label, word) of the base phrases in ``form``."""
+    cases = []
+    for phrase, label in BASE:
+        first, *rest = phrase.split()
+        cases.append(f"when w = '{first}' and " + " and ".join(f"get(ws, i + {j + 1}) = '{x}'" for j, x in enumerate(rest)) + f" then named_struct('label', '{label}', 'word', cast(i as bigint))")
+    return _let("split(trim(form), ' ')", "ws", f"filter(transform(ws, (w, i) -> case {' '.join(cases)} end), x -> x is not null)")
+
+
+def _matched(rules: tuple[Signature, ...]) -> str:
+    """SQL: the rules that match ``form``. Each expression is a literal, compiled once; those that share keywords share a gate."""
+    gates: dict[tuple[str, ...], list[str]] = {}
+    for rank, r in enumerate(rules):
+        value = f"named_struct('pattern', {_quoted(r.pattern)}, 'order', -{r.priority}, 'rank', {rank}, 'label', {_quoted(r.label)}, 'confidence', {r.confidence}D)"
+        gates.setdefault(r.keywords, []).append(f"case when form rlike {_quoted(r.pattern)} then {value} end")
+    kind = "array<struct<pattern:string,order:int,rank:int,label:string,confidence:double>>"
+    parts = [
+        f"case when {' or '.join(f'contains(form, {_quoted(chr(32) + k)})' for k in keywords)} then array_compact(array({', '.join(cases)})) else cast(array() as {kind}) end"
+        for keywords, cases in gates.items()
+    ]
+    return f"concat({', '.join(parts)})"
+
+
+def _detections() -> str:
+    """SQL: the detections of the rules in ``hits``, sorted so that what can suppress one stands before it.
+
+    A match's first and last word are marked in the text, so that its place in words can be read off.
+    """
+    places = _let(
+        "split(trim(regexp_replace(form, r.pattern, concat(char(1), '$0', char(2)))), ' ')",
+        "ws",
+        "arrays_zip(filter(transform(ws, (w, i) -> case when startswith(w, char(1)) then i end), x -> x is not null),"
+        " filter(transform(ws, (w, i) -> case when endswith(w, char(2)) then i + 1 end), x -> x is not null))",
+    )
+    one = "named_struct('start', p.`0`, 'back', -p.`1`, 'order', r.order, 'rank', r.rank, 'label', r.label, 'confidence', r.confidence)"
+    return f"array_sort(flatten(transform(hits, r -> transform({places}, p -> {one}))))"
+
+
+def _surviving() -> str:
+    """SQL: the detections of ``raw`` that no earlier one suppresses.
+
+    One that contains another starts at most the longest range before it. ``n`` is a number of predecessors, the same for
+    all detections, that reaches back so far; so the work is n for each detection, with n small unless matches crowd.
+    """
+    reaches = "not exists(transform(raw, (d, i) -> i >= {0} and get(raw, i - {0}).start >= d.start - far), x -> x)"
+    n = "case " + " ".join(f"when {reaches.format(k)} then {k}" for k in (4, 16, 64, 256, 1024)) + " else size(raw) end"
+    stays = "case when exists(slice(raw, greatest(1, i + 1 - n), least(i, n)), e -> e.back <= d.back and e.order <= d.order) then null else d end"
+    found = _let("array_max(transform(raw, d -> -d.back - d.start))", "far", _let(n, "n", f"filter(transform(raw, (d, i) -> {stays}), x -> x is not null)"))
+    return f"transform({found}, d -> named_struct('label', d.label, 'priority', -d.order, 'confidence', d.confidence, 'start', d.start, 'finish', -d.back, 'rank', d.rank))"
+
+
 def scan(docs: DataFrame, rules: tuple[Signature, ...] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Each row's id, ``n_words``, ``base`` (places of the base phrases), ``found`` (surviving detections) and ``confidence``.
 
     ``base`` is an array of (label, word), the place's first word counted from 0; ``found`` an array of (label,
-    priority, confidence, start, finish) with code points of the normalised text. ``confidence`` is the largest of
-    the detections' and 0.7 for a base place, 0 without any. Base places are never suppressed.
+    priority, confidence, start, finish, rank) with words counted from 0, ``finish`` exclusive. ``confidence`` is the
+    largest of the detections' and 0.7 for a base place, 0 without any. Base places are never suppressed.
 
     Null, empty and wordless texts have 0 words and no detection; a null id stays null; repeated rows are scanned
-    each; other columns are left out; an empty table gives an empty table.
+    each; long texts are scanned whole, in time proportional to their length; other columns are left out; an empty
+    table gives an empty table.
     """
     rules = signatures() if rules is None else rules
-    for phrase, _ in BASE:  # places are found by splitting, so a phrase must not overlap itself
-        own = phrase.split()
-        assert not any(own[:k] == own[-k:] for k in range(1, len(own)))
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     plain = F.regexp_replace(F.translate(text, upper, lower), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " ")
     rows = docs.select(F.col(id_col).alias("id"), F.concat(F.lit(" "), F.trim(plain), F.lit(" ")).alias("form"))
     n_words = F.when(F.col("form") == "  ", F.lit(0)).otherwise(F.length("form") - F.length(F.replace("form", F.lit(" "))) - 1)
     # The prefilter: one look for any keyword at the start of a word.
-    keywords = sorted({k for r in rules for k in r.keywords})
-    any_base = " (?:" + "|".join(phrase for phrase, _ in BASE) + ") "
-    any_rule = " (?:" + "|".join(re.escape(k).replace("\\ ", " ") for k in keywords) + ")"
-    rows = rows.select("id", "form", n_words.cast("long").alias("n_words"), F.col("form").rlike(any_base).alias("has_base"), F.col("form").rlike(any_rule).alias("has_rule"))
-
-    no_base, no_found = "cast(array() as array<struct<label:string,word:bigint>>)", "cast(array() as array<struct<label:string,priority:int,confidence:double,start:bigint,finish:bigint,rank:int>>)"
-    count = "cast(size(filter(split({0}, ' '), w -> w <> '')) as bigint)"
-    places = []
-    for phrase, label in BASE:
-        wide = phrase.replace(" ", "  ")
-        pieces = f"split(replace(form, ' ', '  '), ' {wide} ', -1)"
-        sizes = f"transform({pieces}, p -> {count.format('p')})"
-        step = len(phrase.split())
-        places.append(
-            f"transform(aggregate({sizes}, named_struct('at', 0L, 'all', cast(array() as array<bigint>)),"
-            f" (s, n) -> named_struct('at', s.at + n + {step}L, 'all', array_append(s.all, s.at + n)), s -> slice(s.all, 1, size(s.all) - 1)),"
-            f" x -> named_struct('label', '{label}', 'word', x))"
-        )
-    base = f"case when has_base then concat({', '.join(places)}) else {no_base} end"
-
-    table = ", ".join(
-        f"named_struct('label', {_quoted(r.label)}, 'keywords', array({', '.join(map(_quoted, r.keywords))}), 'pattern', {_quoted(r.pattern)}, 'priority', {r.priority}, 'confidence', {r.confidence}D, 'rank', {i})"
-        for i, r in enumerate(rules)
-    )
-    hits = (
-        f"transform(filter(array({table}), r -> exists(r.keywords, k -> contains(form, concat(' ', k)))), r -> named_struct('r', r, 'cut', split(form, r.pattern, -1), 'hit', regexp_extract_all(form, r.pattern, 0)))"
-    )
-    starts = (
-        "flatten(transform(filter(hits, h -> size(h.hit) > 0), h -> transform(sequence(1, size(h.hit)), j -> named_struct("
-        "'label', h.r.label, 'priority', h.r.priority, 'confidence', h.r.confidence,"
-        " 'start', aggregate(slice(h.cut, 1, j), 0L, (s, p) -> s + length(p)) + aggregate(slice(h.hit, 1, j - 1), 0L, (s, p) -> s + length(p)),"
-        " 'finish', aggregate(slice(h.cut, 1, j), 0L, (s, p) -> s + length(p)) + aggregate(slice(h.hit, 1, j), 0L, (s, p) -> s + length(p)),"
-        " 'rank', h.r.rank))))"
-    )
-    survive = (
-        "filter(raw, d -> not exists(raw, e -> e.start <= d.start and e.finish >= d.finish and (e.priority > d.priority"
-        " or (e.priority = d.priority and e.finish - e.start > d.finish - d.start)"
-        " or (e.priority = d.priority and e.start = d.start and e.finish = d.finish and e.rank < d.rank))))"
-    )
-    step = rows.selectExpr("id", "n_words", f"{base} as base", "form", "has_rule")
-    step = step.selectExpr("id", "n_words", "base", "has_rule", f"case when has_rule then {hits} end as hits")
-    step = step.selectExpr("id", "n_words", "base", f"case when has_rule then {starts} else {no_found} end as raw")
-    step = step.selectExpr("id", "n_words", "base", f"{survive} as found")
+    any_rule = F.col("form").rlike(" " + _any_prefix(sorted({k for r in rules for k in r.keywords})))
+    any_base = reduce(lambda a, b: a | b, [F.contains("form", F.lit(f" {phrase} ")) for phrase, _ in BASE])
+    rows = rows.select("id", "form", n_words.cast("long").alias("n_words"), any_base.alias("has_base"), any_rule.alias("has_rule"))
+
+    no_base = "cast(array() as array<struct<label:string,word:bigint>>)"
+    no_found = "cast(array() as array<struct<label:string,priority:int,confidence:double,start:int,finish:int,rank:int>>)"
+    step = rows.selectExpr("id", "n_words", "form", f"case when has_base then {_base_places()} else {no_base} end as base", f"case when has_rule then {_matched(rules)} end as hits")
+    step = step.selectExpr("id", "n_words", "base", f"case when size(hits) > 0 then {_detections()} end as raw")
+    step = step.selectExpr("id", "n_words", "base", f"case when size(raw) > 0 then {_surviving()} else {no_found} end as found")
     best = "greatest(case when size(base) > 0 then 0.7D else 0.0D end, coalesce(array_max(transform(found, f -> f.confidence)), 0.0D))"
     return step.selectExpr("id", "n_words", "base", "found", f"{best} as confidence").withColumnRenamed("id", id_col)

@@ -173,15 +173,30 @@ def test_licenses(spark, docs, fixture):
         assert r.labels == ",".join(sorted(set(filter(None, r.labels.split(",")))))
 
 
-def test_license_rules_against_plain_regexes(spark, docs):
-    found = {r.doc_id: r.found for r in licenses.scan(spark.read.parquet(f"{docs}/documents.parquet")).where("doc_id is not null").collect()}
-    for i, text in enumerate(TEXTS):
+def test_license_rules_against_plain_regexes(spark):
+    """Detections and suppression again with the re module, on written texts and on texts that crowd matches."""
+    texts = [t or "" for t in TEXTS] + [
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        "(c) 2019 The Authors. Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. neither the name of the X nor the names of its contributors may be used to endorse or promote products derived from this software",
+        "gpl gpl v2 gpl v2 or later with classpath exception gnu gpl 3 only lgpl 2.1 " * 40,
+        "copyright (c) 2020 copyright holder all rights reserved mit license x11 license bsd license " * 30,
+    ]
+    found = {r.doc_id: r.found for r in licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    for i, text in enumerate(texts):
         form = " " + " ".join(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", brute.low(text))) + " "
-        raw = [(m.start(), m.end(), s.priority, -n, s.label) for n, s in enumerate(licenses.signatures()) for m in re.finditer(s.pattern, form)]
+        raw = []
+        for n, s in enumerate(licenses.signatures()):
+            for m in re.finditer(s.pattern, form):
+                first = form[: m.start()].count(" ") - 1
+                raw.append((first, first + m[0].count(" ") + 1, s.priority, -n, s.label))
         keep = {d for d in raw if not any(e[0] <= d[0] and e[1] >= d[1] and (e[2], e[1] - e[0], e[3]) > (d[2], d[1] - d[0], d[3]) and (e[2] != d[2] or e[1] - e[0] > d[1] - d[0] or e[:2] == d[:2]) for e in raw)}
         assert {(x.start, x.finish, x.priority, -x["rank"], x.label) for x in found[i]} == keep
+        assert len(found[i]) == len(keep)
     assert {"cc-by-nc-4.0", "apache-2"} <= {x.label for x in found[9]}
     assert "gpl-3" in {x.label for x in found[8]} and "gpl" not in {x.label for x in found[8]}
+    n = len(TEXTS)
+    assert {x.label for x in found[n]} == {"gpl-3-or-later"} and "apache-2" in {x.label for x in found[n + 1]} and {"bsd", "bsd-3-clause"} <= {x.label for x in found[n + 2]}
 
 
 def test_empty_tables(spark, docs):
