@@ -1,31 +1,38 @@
-"""Line deduplication (operator 6): repeated line runs found by distributed prefix doubling.
-
-The suffixes of the line sequences get names for their first 1, 2, 4, ... lines. A round joins the name at a line with
-the name as many lines further on (inside the document) and groups equal pairs over all documents; suffixes whose name
-no other shares drop out, so each round is smaller than the one before, and the rounds end when none is left. The
-groups of a round are the intervals of the suffix array with a longest common prefix of that many lines or more;
-the order of the suffixes between groups is never needed, so names (hashes) stand in for ranks. A run of any length
-that stands earlier is covered by the two overlapping power-of-two runs at its ends: the union of the groups' later
-members is the union of all maximal repeated runs' later copies.
+"""Line deduplication (operator 6): repeated line runs from a suffix array of the line sequences.
+
+1. Prefix doubling. The suffixes of the documents' line sequences are ranked by their first 1, 2, 4, ... lines. A round pairs
+   the rank at a line with the rank as many lines further on (inside the document), sorts the distinct pairs over all
+   documents, and numbers them in that order. Suffixes whose pair no other shares stand alone in their interval of the
+   suffix array and drop out; the rounds end when none is left.
+2. Longest common prefixes. Suffixes of one rank are an interval of the suffix array with a longest common prefix of that
+   many lines at least. A suffix in an interval with an earlier place is a later copy. Its exact common prefix with the
+   earliest place of its last interval is found by descending through the ranks, halving the step each time.
+3. Deletion. Each run so found that doesn't continue one from the line before is a maximal repeated run; its later copy goes.
+   Every line of any repeated run starts, or follows in, a run of a power of two that stands earlier, so the runs
+   cover all later copies whichever earlier place they are compared with.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridlake.llm.scratch import saved
+from gridlake.llm.scratch import dropped, saved
 from gridlake.llm.text import chunks, lines, words
 
 
 @dataclass(frozen=True)
 class Settings:
-    """A repeated run is deleted when it has ``min_lines`` lines (a power of two) or, for shorter ones, a line of ``min_words`` words."""
+    """A repeated run is deleted when it has ``min_lines`` lines (a power of two) or, for shorter ones, a line of ``min_words`` words.
+
+    So a single repeated line of fewer words stays unless a neighbour repeats with it.
+    """
 
     min_lines: int = 2
     min_words: int = 10
@@ -47,29 +54,62 @@ def line_table(docs: DataFrame) -> DataFrame:
     return docs.select("id", "text", "key").mapInArrow(split, f"id {kind}, key long, pos int, name long, words int")
 
 
-def _shared(named: DataFrame) -> DataFrame:
-    """The suffixes whose name another place shares, with ``later``: whether the name stands at an earlier place."""
-    place = F.struct("id", "key", "pos")
-    groups = named.groupBy("name").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first < last").select("name", "first")
-    return named.join(groups, "name").withColumn("later", place > F.col("first")).drop("first")
+_PLACE = ("id", "key", "pos")
 
 
-def repeated_runs(table: DataFrame, s: Settings = Settings()) -> DataFrame:
-    """(id, key, pos, size): runs of ``size`` lines (powers of two) that also stand earlier, by id and then place."""
-    alive = saved(_shared(table), "suffixes")
-    found = [alive.where(F.col("later") & ((F.col("words") >= s.min_words) | F.lit(s.min_lines <= 1))).select("id", "key", "pos", F.lit(1).alias("size"))]
-    size = 1
-    while not alive.isEmpty():
+def _ranked(named: DataFrame, by: list[str]) -> DataFrame:
+    """The suffixes whose ``by`` another place shares, with the ``rank`` of these in order, the earliest place, and ``later``.
+
+    The groups are a written table, so that adaptive execution can split a line that very many documents share.
+    """
+    place = F.struct(*_PLACE)
+    groups = named.groupBy(*by).agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first < last")
+    groups = saved(groups.select(*by, "first").sort(*by).withColumn("rank", F.monotonically_increasing_id()), "groups")
+    found = named.join(groups, by).drop(*by).withColumn("later", place > F.col("first"))
+    found = saved(found.dropDuplicates(list(_PLACE)), "suffixes")  # repeated rows of a document have the same places
+    dropped(groups)
+    return found
+
+
+def suffix_ranks(table: DataFrame) -> list[DataFrame]:
+    """For 1, 2, 4, ... lines a table of the shared suffixes: place, ``rank``, ``first`` (earliest place of the rank), ``later``."""
+    levels = [_ranked(table, ["name"])]
+    while not levels[-1].isEmpty():
+        size = 1 << (len(levels) - 1)
         ahead = Window.partitionBy("id", "key").orderBy("pos").rangeBetween(size, size)
-        pairs = alive.withColumn("next", F.first("name").over(ahead)).where("next is not null")
-        pairs = saved(pairs.select("id", "key", "pos", F.xxhash64("name", "next").alias("name")), "pairs")
-        size *= 2
-        alive = saved(_shared(pairs), "suffixes")
-        if size >= s.min_lines:
-            found.append(alive.where("later").select("id", "key", "pos", F.lit(size).alias("size")))
-    runs = found[0]
-    for more in found[1:]:
-        runs = runs.union(more)
+        pairs = levels[-1].select(*_PLACE, F.col("rank").alias("here"), F.first("rank").over(ahead).alias("next")).where("next is not null")
+        levels.append(_ranked(saved(pairs, "pairs"), ["here", "next"]))
+    dropped(levels.pop())
+    return levels
+
+
+def copied_runs(levels: list[DataFrame]) -> DataFrame:
+    """The maximal repeated runs' later copies: place, ``size`` in lines, and ``first``, the place that they are copies of."""
+    tops = [rank.where("later").select(*_PLACE, F.lit(k).alias("level"), "first") for k, rank in enumerate(levels)]
+    tops = reduce(DataFrame.union, tops).groupBy(*_PLACE).agg(F.max(F.struct("level", "first")).alias("top"))
+    runs = tops.select(*_PLACE, "top.first", "top.level", F.expr("shiftleft(1, top.level)").alias("size"))
+    for k in reversed(range(len(levels) - 1)):
+        own = levels[k].select("id", "key", F.col("pos").alias("at"), F.col("rank").alias("own_rank"))
+        theirs = levels[k].select(F.col("id").alias("f_id"), F.col("key").alias("f_key"), F.col("pos").alias("f_at"), F.col("rank").alias("first_rank"))
+        longer = runs.withColumn("at", F.col("pos") + F.col("size"))
+        longer = longer.withColumns({"f_id": F.col("first.id"), "f_key": F.col("first.key"), "f_at": F.col("first.pos") + F.col("size")})
+        longer = longer.join(own, ["id", "key", "at"], "left").join(theirs, ["f_id", "f_key", "f_at"], "left")
+        more = (F.col("level") > k) & (F.col("own_rank") == F.col("first_rank"))
+        runs = longer.select(*_PLACE, "first", "level", (F.col("size") + F.when(more, 1 << k).otherwise(0)).alias("size"))
+    before = Window.partitionBy("id", "key").orderBy("pos").rangeBetween(-1, -1)
+    continues = F.coalesce((F.first("first").over(before)["pos"] + 1 == F.col("first.pos")) & (F.first("size").over(before) == F.col("size") + 1), F.lit(False))
+    return runs.withColumn("continues", continues & (F.first("first").over(before)["key"] == F.col("first.key"))).where("not continues").select(*_PLACE, "size", "first")
+
+
+def repeated_runs(table: DataFrame, s: Settings = Settings()) -> DataFrame:
+    """(id, key, pos, size): the maximal repeated runs' later copies that are long enough to go (see ``Settings``)."""
+    levels = suffix_ranks(table)
+    if not levels:
+        return table.select(*_PLACE, F.lit(1).alias("size")).limit(0)
+    runs = copied_runs(levels).where(F.col("size") >= s.min_lines).select(*_PLACE, "size")
+    if s.min_lines > 1:
+        single = levels[0].where(F.col("later") & (F.col("words") >= s.min_words))
+        runs = runs.union(single.select(*_PLACE, F.lit(1).alias("size")))
     return runs
 
 
@@ -82,7 +122,8 @@ def remove_repeated_lines(docs: DataFrame, s: Settings = Settings(), id_col: str
 
     A null or empty text has no line and stays. A row with a null id keeps all lines and is nobody's first place.
     Repeated rows (one id, one text) aren't copies of each other. Columns may have any name but the three added
-    here, which replace columns of those names. An empty table gives an empty table.
+    here, which replace columns of those names. An empty table gives an empty table. Long texts are split whole: a
+    task holds some 30 bytes for each byte of the longest one.
     """
     added = ["n_lines", "n_removed", "longest_run"]
     others = [c for c in docs.columns if c not in (id_col, text_col, *added)]

@@ -195,3 +195,40 @@ def test_pipeline(spark):
     whole = corpus_pipeline.run(spark, SF)  # the order of rows, and so where windows cut, is free
     assert whole.select("doc_id", "doc_tokens").distinct().exceptAll(kept.select("doc_id", "doc_tokens").distinct()).isEmpty()
     assert whole.agg(F.sum("length")).first() == kept.agg(F.sum("length")).first()
+
+
+def test_suffix_ranks_and_maximal_runs(spark):
+    """Ranks follow the order of the line sequences; maximal runs have their exact lengths and sources."""
+    rng = random.Random(6)
+    body = [rng.choice("abcd") for _ in range(60)]
+    seqs = {1: body, 2: ["x", *body[5:28], "y", *body[30:33]], 3: [*body[10:21], "z", *body[5:28]], 4: ["q", "r"], 5: [rng.choice("ab") for _ in range(40)]}
+    docs = spark.createDataFrame([(i, "\n".join(s)) for i, s in seqs.items()] * 2, "id long, text string").withColumn("key", F.lit(0).cast("long"))
+    levels = lines.suffix_ranks(lines.line_table(docs))
+    name = {}
+    for r in lines.line_table(docs).collect():
+        name[seqs[r.id][r.pos]] = r.name  # lines are ordered by their hash
+    coded = {i: [name[x] for x in s] for i, s in seqs.items()}
+    for k, level in enumerate(levels):
+        size, prefix = 1 << k, {}
+        for i, s in coded.items():
+            for p in range(len(s) - size + 1):
+                prefix.setdefault(tuple(s[p : p + size]), []).append((i, p))
+        shared = {x: places for x, places in prefix.items() if len(places) > 1}
+        got = {(r.id, r.pos): (r.rank, (r.first.id, r.first.pos), r.later) for r in level.collect()}
+        assert set(got) == {q for places in shared.values() for q in places}
+        assert all(got[q][1:] == (min(places), q > min(places)) for places in shared.values() for q in places)
+        order = [x for _, x in sorted((got[places[0]][0], x) for x, places in shared.items())]
+        assert order == sorted(shared) and len({r for r, _, _ in got.values()}) == len(shared)
+    gone = set()
+    for r in lines.copied_runs(levels).collect():
+        s, f = seqs[r.id], seqs[r.first.id]
+        assert (r.first.id, r.first.pos) < (r.id, r.pos) and s[r.pos : r.pos + r["size"]] == f[r.first.pos : r.first.pos + r["size"]]
+        assert s[r.pos + r["size"] : r.pos + r["size"] + 1] != f[r.first.pos + r["size"] : r.first.pos + r["size"] + 1] or r.pos + r["size"] == len(s)
+        if r["size"] > 1:
+            gone |= {(r.id, r.pos + d) for d in range(r["size"])}
+    want, seen = set(), {}
+    for i, s in seqs.items():
+        for p in range(len(s) - 1):
+            if seen.setdefault(tuple(s[p : p + 2]), (i, p)) != (i, p):
+                want |= {(i, p), (i, p + 1)}
+    assert gone == want
