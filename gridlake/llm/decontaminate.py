@@ -114,6 +114,8 @@ class Items:
                                 candidates.update((int(rows[h]), int(m)) for m in members[left[h] : e])
             whole: dict[int, np.ndarray] = {}
             for r, m in sorted(candidates):
+                if k < s.shingle and found.before[r + 1] - found.before[r] != k:
+                    continue  # an item shorter than a shingle is contained in a text of just its words
                 if r not in whole:
                     whole[r] = np.unique(code[first[r] : first[r + 1]])
                 own = self.sets[m]
@@ -146,7 +148,7 @@ def contaminated(docs: DataFrame, items: DataFrame, s: Settings = Settings(), id
     """Each row's id, ``item_ids`` (sorted; the items contained in it), ``max_containment`` and ``contaminated``.
 
     Words are runs of other characters than spaces and controls 9 to 13, lower-cased (A-Z). An item with fewer words
-    than a shingle is one shingle of its own length; one without words is in no document. Null and empty texts hold
+    than a shingle is contained in the documents that consist of just its words; one without words is in no document. Null and empty texts hold
     nothing. Rows with a null item id count for nothing. A null document id stays null; repeated rows are each
     searched; long texts are searched whole; other columns are left out; an empty table gives an empty table.
     """

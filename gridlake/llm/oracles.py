@@ -51,8 +51,8 @@ FROM documents d JOIN t USING (doc_id) LEFT JOIN h USING (doc_id)
 
 def _grams(table: str, key: str) -> str:
     return f"""SELECT DISTINCT {key}, array_to_string(w[i : i + 4], ' ') AS g
-      FROM (SELECT {key}, w, unnest(range(1, len(w) - 3)) AS i
-            FROM (SELECT {key}, regexp_extract_all({_LOW}, {_WORD}) AS w FROM {table}) WHERE len(w) >= 5)"""
+      FROM (SELECT {key}, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i
+            FROM (SELECT {key}, regexp_extract_all({_LOW}, {_WORD}) AS w FROM {table}) WHERE len(w) > 0)"""
 
 
 DECONTAMINATION = f"""

@@ -8,6 +8,8 @@ run; ``clear_scratch`` removes all that this session wrote.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from gridlake.sources.workspace import new_folder
@@ -26,6 +28,15 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return again
 
 
+def settled(build: Callable[[], DataFrame], name: str) -> DataFrame:
+    """Save what ``build`` gives, and remove the tables that were written on the way."""
+    before = set(_written)
+    done = saved(build(), name)
+    for path in [x for x in _written if x not in before and x != done._scratch_path]:
+        _remove(done.sparkSession, path)
+    return done
+
+
 def dropped(df: DataFrame) -> None:
     """Remove the files of a table from ``saved`` that no later plan reads."""
     _remove(df.sparkSession, df._scratch_path)

@@ -1,5 +1,6 @@
 """Plain versions of the operators, for small inputs."""
 
+import math
 import re
 from collections import Counter, defaultdict
 from hashlib import sha256
@@ -93,3 +94,34 @@ def license_base(text):
 
 def digest(text):
     return sha256(text.encode()).hexdigest()
+
+
+def line_dedup(rows, min_words=10):
+    """{id: (text, lines with a word, removed ones)} for rows of distinct ids: later copies of line pairs and of long lines go."""
+    seqs = {i: [(n, x) for n, x in enumerate((t or "").split("\n")) if words(x)] for i, t in rows}
+    first, gone = {}, {i: set() for i in seqs}
+    for i in sorted(seqs):
+        for size in (1, 2):
+            for p in range(len(seqs[i]) - size + 1):
+                run = seqs[i][p : p + size]
+                if first.setdefault(tuple(x for _, x in run), (i, p)) != (i, p) and (size == 2 or len(words(run[0][1])) >= min_words):
+                    gone[i].update(n for n, _ in run)
+    text = lambda i, t: t if t is None else "\n".join(x for n, x in enumerate(t.split("\n")) if n not in gone[i])
+    return {i: (text(i, t), len(seqs[i]), len(gone[i])) for i, t in rows}
+
+
+def ftrl(rows, labels, order, size, alpha, beta, l1, l2):
+    """Weights after visiting rows (lists of (feature, value)) in the given order, one number at a time."""
+    z, n = [0.0] * size, [0.0] * size
+
+    def weight(i):
+        return 0.0 if abs(z[i]) <= l1 else -(z[i] - (l1 if z[i] > 0 else -l1)) / ((beta + n[i] ** 0.5) / alpha + l2)
+
+    for r in order:
+        w = {i: weight(i) for i, _ in rows[r]}
+        p = 1 / (1 + math.exp(-sum(w[i] * v for i, v in rows[r])))
+        for i, v in rows[r]:
+            g = (p - labels[r]) * v
+            z[i] += g - ((n[i] + g * g) ** 0.5 - n[i] ** 0.5) / alpha * w[i]
+            n[i] += g * g
+    return [weight(i) for i in range(size)]

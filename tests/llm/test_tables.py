@@ -127,15 +127,13 @@ def test_contamination_against_brute_force(spark):
             at = rng.randint(0, len(body))
             body[at:at] = own
         rows.append((i, " ".join(body)))
-    rows += [(None, items[20][1]), (500, None), (3, rows[3][1])]
+    rows += [(None, items[20][1]), (500, None), (3, rows[3][1]), (501, next(t for _, t in items if t and len(t.split()) == 3).upper())]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("item_ids", F.lit(0))
     tests = spark.createDataFrame(items, "item_id long, text string")
 
     def holds(doc, item):
-        w, v = brute.words(brute.low(doc)), brute.words(brute.low(item))
-        k = min(5, len(v))
-        own = {tuple(v[j : j + k]) for j in range(len(v) - k + 1)} if k else set()
-        return bool(own) and 10 * len(own & {tuple(w[j : j + k]) for j in range(len(w) - k + 1)}) >= 8 * len(own)
+        own = brute.shingles(item, 5)
+        return bool(own) and 10 * len(own & brute.shingles(doc, 5)) >= 8 * len(own)
 
     want = sorted((str(i), [j for j, item in items if j is not None and holds(t, item)]) for i, t in rows)
     for s in (decontaminate.Settings(), decontaminate.Settings(block_shingles=300)):
@@ -182,6 +180,10 @@ def test_pipeline(spark):
         if name == "quality_classifier":
             weights = quality.train(quality.training_sample(before, spark.read.parquet(f"{SF}/labels.parquet")))
             assert set(left) == {r.doc_id for r in quality.score(before, weights).where("score >= 0.3").collect()}
+        if name == "line_dedup":
+            plain = brute.line_dedup(given.items())
+            assert left == {i: text for i, (text, n, gone) in plain.items() if n == 0 or gone < n}
+            assert all(r.n_chars == len(r.text) for r in kept.collect())
         if name == "minhash_near_dedup":
             assert set(left) == {i for i, (_, c) in brute.near_duplicates(given.items(), 5, 80).items() if i == c}
         if name == "decontamination":
@@ -232,3 +234,72 @@ def test_suffix_ranks_and_maximal_runs(spark):
             if seen.setdefault(tuple(s[p : p + 2]), (i, p)) != (i, p):
                 want |= {(i, p), (i, p + 1)}
     assert gone == want
+
+
+def test_ftrl_against_a_plain_version():
+    rng = random.Random(9)
+    s = quality.Settings(bits=6, passes=3)
+    rows = [sorted({rng.randrange(64): rng.uniform(0.1, 1) for _ in range(rng.randint(1, 8))}.items()) for _ in range(60)]
+    labels = [int(sum(i for i, _ in r) % 3 == 0) for r in rows]
+    visits = np.random.default_rng(7)
+    order = [r for _ in range(s.passes) for r in visits.permutation(len(rows))]
+    want = brute.ftrl(rows, labels, order, 64, s.alpha, s.beta, s.l1, s.l2)
+    got = quality.fit([np.array([i for i, _ in r]) for r in rows], [np.array([v for _, v in r]) for r in rows], np.array(labels, float), s)
+    assert np.allclose(got, want, rtol=1e-9, atol=1e-12) and any(want)
+
+
+def test_scores_are_sparse_dot_products():
+    rng = np.random.default_rng(5)
+    w = rng.normal(size=1 << 12)
+    texts = ["", None, "one", "Some words here, some WORDS there 12!", "x y " * 300, "  \n "]
+    got = quality._scores(pa.array(texts), w, 12)
+    for value, one in zip(got, texts, strict=True):
+        (chunk,) = text.chunks(pa.array([one], pa.string()))
+        index, weight, border = quality.features(chunk, 12)
+        assert border[-1] == len(index) and (len(index) == 0 or abs((weight**2).sum() - 1) < 1e-9)
+        total = w[0] + sum(w[i] * v for i, v in zip(index.tolist(), weight.tolist(), strict=True))
+        assert abs(value - 1 / (1 + np.exp(-total))) < 1e-12
+        assert value == quality._scores(pa.array([one], pa.string()), w, 12)[0]  # to the last bit
+
+
+def test_packing_query(spark):
+    """The registered columns: places without gaps, pieces cut from each document's own ids."""
+    given = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    tokenizer = Tokenizer.from_file(PATH)
+    ids = {i: np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 1], "<u4") for i, t in given.items()}
+    pieces = sorted(queries.op4_packing(spark, SF).collect(), key=lambda p: (p.sequence_id, p.offset))
+    at, seen = 0, {i: 0 for i in given}
+    for p in pieces:
+        assert p.sequence_id * 2048 + p.offset == at and 0 < p.length <= 2048 - p.offset and p.start == seen[p.doc_id]
+        assert p.ids_crc32 == zlib.crc32(ids[p.doc_id][p.start : p.start + p.length].tobytes()) and p.doc_tokens == len(ids[p.doc_id])
+        at += p.length
+        seen[p.doc_id] += p.length
+    assert seen == {i: len(x) for i, x in ids.items()}
+
+
+def test_pipeline_on_odd_rows(spark, tmp_path):
+    """Nulls, repeated rows and ids, clashing and missing columns; then empty tables. Nothing is left in the shared folder but the last tables."""
+    body = [f"word{i} is followed by line {i}" for i in range(40)]
+    good = "\n".join(body)
+    rows = [(1, good, "en"), (1, good, "en"), (1, "a text of its own with quite some words in it", None), (2, None, "en"), (2, "", "de"), (None, good + "\nmore", "en"), (3, "x " + good.upper(), "en"), (4, " ".join(f"t{i}" for i in range(30)), "fr")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    for name in ("rest", "runs", "key", "class", "id", "stored", "_row"):
+        docs = docs.withColumn(name, F.lit(name))
+    docs.write.parquet(f"{tmp_path}/a/documents.parquet")
+    docs.limit(0).write.parquet(f"{tmp_path}/b/documents.parquet")
+    tests = spark.createDataFrame([(9, " ".join(f"t{i}" for i in range(20))), (None, None)], "item_id long, text string")
+    labels = spark.createDataFrame([(None, 1, 0), (1, None, 0)], "doc_id long, quality int, toxic int")
+    for part, n in (("a", None), ("b", 0)):
+        tests.write.parquet(f"{tmp_path}/{part}/benchmark.parquet")
+        labels.write.parquet(f"{tmp_path}/{part}/labels.parquet")
+        pieces = corpus_pipeline.run(spark, f"{tmp_path}/{part}").collect()
+        if n is None:
+            found = sorted({(str(p.doc_id), p.doc_tokens) for p in pieces})
+            assert {i for i, _ in found} == {"1", "2", "None", "3"}  # 4 holds a test passage
+            assert len([i for i, _ in found if i == "1"]) == 2  # both texts, each once
+        else:
+            assert pieces == []
+    kept = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, kept, f"{tmp_path}/a")
+        assert kept.columns == docs.columns
