@@ -7,13 +7,14 @@ columns of ``documents``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlake.llm import decontaminate, lines, minhash, packing, quality
-from gridlake.llm.scratch import saved
+from gridlake.llm.scratch import dropped, settled
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -32,7 +33,9 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def new_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without later copies of line runs, and without the documents that are nothing but such copies."""
     cleaned = lines.without_emptied(lines.remove_repeated_lines(docs))
-    return cleaned.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    if "n_chars" in docs.columns:
+        cleaned = cleaned.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return cleaned.select(*docs.columns)
 
 
 def single_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,8 +65,15 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; what each keeps is written and read again, so a lost executor repeats one stage."""
+    """All stages over ``documents``; what each keeps is written and read again, so a lost executor repeats one stage.
+
+    Tables that a stage no longer needs are removed; those of the last stage are read by the result.
+    """
     docs = _table(spark, sf_dir, "documents")
+    before = None
     for name, stage in STAGES[:-1]:
-        docs = saved(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = settled(partial(stage, spark, docs, sf_dir), f"pipeline-{name}")
+        if before is not None:
+            dropped(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
