@@ -295,7 +295,7 @@ def test_pipeline_on_odd_rows(spark, tmp_path):
         pieces = corpus_pipeline.run(spark, f"{tmp_path}/{part}").collect()
         if n is None:
             found = sorted({(str(p.doc_id), p.doc_tokens) for p in pieces})
-            assert {i for i, _ in found} == {"1", "2", "None", "3"}  # 4 holds a test passage
+            assert {i for i, _ in found} == {"1", "2", "None"}  # 3 is a near copy of 1, and 4 holds a test passage
             assert len([i for i, _ in found if i == "1"]) == 2  # both texts, each once
         else:
             assert pieces == []
