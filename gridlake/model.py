@@ -44,13 +44,14 @@ class Area:
     max_lon: float
 
 
-# The two published areas, and two of our own for tests and benchmarks.
+# The two published areas, and three of our own for tests and benchmarks.
 AREAS = {
     a.id: a
     for a in (
         Area("taiwan", 20.0, 27.0, 118.0, 124.0),
         Area("northwest_pacific", 15.0, 35.0, 105.0, 135.0),
         Area("probe", 24.0, 25.0, 120.0, 121.0),
+        Area("corner", 24.0, 24.5, 120.0, 120.5),
         Area("wide", 20.0, 30.0, 118.0, 128.0),
     )
 }

@@ -38,10 +38,17 @@ def in_dates(df: DataFrame, start: date, end: date) -> DataFrame:
 
 
 def clip_areas(df: DataFrame, areas: Iterable[Area]) -> DataFrame:
-    """A row for each area that holds the point, with aoi_id; all four edges belong to an area. The areas are part of the expression, so nothing is joined."""
-    held = F.array(*[F.struct(F.lit(a.id).alias("id"), *[F.lit(getattr(a, k)).alias(k) for k in ("min_lat", "max_lat", "min_lon", "max_lon")]) for a in areas])
+    """A row for each area that holds the point, with aoi_id; all four edges belong to an area.
+
+    The areas are part of the expression, so nothing is joined. Their outer box is a plain filter, which reaches the
+    scan where lat and lon are columns of a file.
+    """
+    areas = list(areas)
+    box = {edge: pick(getattr(a, edge) for a in areas) for edge, pick in (("min_lat", min), ("max_lat", max), ("min_lon", min), ("max_lon", max))}
+    near = df.where(F.col("lat").between(box["min_lat"], box["max_lat"]) & F.col("lon").between(box["min_lon"], box["max_lon"]))
+    held = F.array(*[F.struct(F.lit(a.id).alias("id"), *[F.lit(getattr(a, k)).alias(k) for k in box]) for a in areas])
     inside = F.filter(held, lambda a: F.col("lat").between(a["min_lat"], a["max_lat"]) & F.col("lon").between(a["min_lon"], a["max_lon"]))
-    return df.withColumn("aoi_id", F.explode(F.transform(inside, lambda a: a["id"])))
+    return near.withColumn("aoi_id", F.explode(F.transform(inside, lambda a: a["id"])))
 
 
 def valid_range(df: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ def union_products(frames: dict[str, DataFrame]) -> DataFrame:
 
 
 def clean_observations(observations: DataFrame, areas, start, end) -> DataFrame:
-    """Conformed, clipped, valid observations on the grid. Filters on date and place reach the scan."""
+    """Conformed, clipped, valid observations on the grid. Filters on date, product, value and the areas' outer box reach the scan of a file."""
     rows = in_dates(conform(observations), start, end)
     return with_grid(valid_quality(valid_range(clip_areas(rows, areas))))
 

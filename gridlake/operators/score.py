@@ -10,6 +10,8 @@ from gridlake.model import SCOPE
 from gridlake.operators.features import long_metrics, multi_resolution
 
 TIE_DIGITS = 9
+#: Added before rounding: means of values with few digits often lie halfway between two roundings, where noise would decide.
+OFF_HALVES = 1.234e-11
 
 
 def complete_scopes(df: DataFrame) -> DataFrame:
@@ -25,7 +27,7 @@ def relative_score(df: DataFrame) -> DataFrame:
     Cells without fishing score 0 but stay in the ranking; a cell alone scores 100. Values are compared after
     rounding to 9 digits, so that noise in the last bits of a mean can't break a tie.
     """
-    scope = Window.partitionBy(*SCOPE).orderBy(F.round("metric_value", TIE_DIGITS))
+    scope = Window.partitionBy(*SCOPE).orderBy(F.round(F.col("metric_value") + F.lit(OFF_HALVES), TIE_DIGITS))
     rank = F.percent_rank().over(scope) * 100.0
     cells = F.count("*").over(scope.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     idle = (F.col("product_id") == "GFW") & (F.col("metric_value") <= 0)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,7 +38,7 @@ SELECT vec_id, DATE '2024-01-01' + CAST(vec_id % 30 AS INT) AS date, embedding F
 """
 START, END = date(2024, 1, 1), date(2024, 1, 30)
 #: Row and column of the first point, and the number of rows and columns, for each area of ours.
-PLACES = {"probe": (1559, 7199, 26), "wide": (1439, 7151, 242)}
+PLACES = {"probe": (1559, 7199, 26), "corner": (1559, 7199, 26), "wide": (1439, 7151, 242)}
 
 
 def placed(sql: str, area: str) -> str:
@@ -114,3 +116,8 @@ class Layers:
 
     def status(self) -> DataFrame:
         return dashboard.status_distribution(self.cells())
+
+
+def together(parts: Iterable[Layers]) -> DataFrame:
+    """The map table of several areas in one; dashboards built on it see all areas of a day."""
+    return reduce(DataFrame.unionByName, [x.cells() for x in parts])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gridlake.model import ENVIRONMENT, PRODUCTS, PUBLISHED, RESOLUTIONS_KM
+from gridlake.model import AREAS, ENVIRONMENT, PRODUCTS, PUBLISHED, RESOLUTIONS_KM
 from gridlake.plans.layers import EFFORT, OBSERVATIONS, placed
 
 _M = ENVIRONMENT
@@ -40,22 +40,22 @@ _PRODUCTIVITY = " + ".join(f"CASE WHEN abs(avg({m}) OVER day) > 1e-12 THEN {m} /
 _PRODUCTIVE = "chlor_a_source = 'observed' AND poc_source = 'observed' AND nflh_source = 'observed'"
 
 LAYERS = {
-    "observations": placed(OBSERVATIONS, "probe").replace("{events}", "events"),
-    "effort": placed(EFFORT, "probe").replace("{lineitem}", "lineitem"),
+    "observations": OBSERVATIONS.replace("{events}", "events"),
+    "effort": EFFORT.replace("{lineitem}", "lineitem"),
     "conformed": "SELECT date AS event_date, product, lat, lon, CAST(value AS DOUBLE) AS metric_value, CAST(quality_level AS INT) AS quality_level FROM observations",
-    "clipped": """SELECT *, 'probe' AS aoi_id FROM conformed WHERE event_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-30'
-        AND lat BETWEEN 24.0 AND 25.0 AND lon BETWEEN 120.0 AND 121.0""",
+    "clipped": """SELECT *, '$AREA' AS aoi_id FROM conformed WHERE event_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-30'
+        AND lat BETWEEN $LAT AND lon BETWEEN $LON""",
     "ranged": f"SELECT * FROM clipped WHERE {_range}",
     "clean": f"SELECT *, {_id} FROM (SELECT *, {_grid} FROM ranged WHERE product NOT IN ('SST', 'NSST', 'SST4') OR quality_level <= 1)",
     "grid": f"SELECT event_date, aoi_id, grid_id, grid_row, grid_col, {_pivot} FROM clean GROUP BY ALL",
     "effort_conformed": """SELECT CAST(date AS DATE) AS event_date, cell_ll_lat + 0.005::DOUBLE AS lat, cell_ll_lon + 0.005::DOUBLE AS lon,
         hours, fishing_hours, mmsi_present FROM effort""",
     "effort_valid": "SELECT * FROM effort_conformed WHERE hours >= 0 AND fishing_hours BETWEEN 0 AND hours AND mmsi_present >= 0",
-    "effort_clean": f"""SELECT *, {_id} FROM (SELECT *, 'probe' AS aoi_id, {_grid} FROM effort_valid WHERE event_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-30'
-        AND lat BETWEEN 24.0 AND 25.0 AND lon BETWEEN 120.0 AND 121.0)""",
+    "effort_clean": f"""SELECT *, {_id} FROM (SELECT *, '$AREA' AS aoi_id, {_grid} FROM effort_valid WHERE event_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-30'
+        AND lat BETWEEN $LAT AND lon BETWEEN $LON)""",
     "effort_grid": """SELECT event_date, aoi_id, grid_id, grid_row, grid_col, round(sum(hours), 6) AS presence_hours, round(sum(fishing_hours), 6) AS fishing_hours,
         CAST(sum(mmsi_present) AS BIGINT) AS vessel_presence_count FROM effort_clean GROUP BY ALL""",
-    "cells4": f"SELECT 'probe' AS aoi_id, {_id}, grid_row, grid_col FROM (SELECT CAST(unnest(range(1560, 1584)) AS INT) AS grid_row), (SELECT CAST(unnest(range(7200, 7224)) AS INT) AS grid_col)",
+    "cells4": f"SELECT '$AREA' AS aoi_id, {_id}, grid_row, grid_col FROM (SELECT CAST(unnest(range($ROWS)) AS INT) AS grid_row), (SELECT CAST(unnest(range($COLS)) AS INT) AS grid_col)",
     "days": "SELECT CAST(unnest(range(DATE '2023-12-30', DATE '2024-01-31', INTERVAL 1 DAY)) AS DATE) AS event_date",
     "backbone": "SELECT * FROM days, cells4",
     "joined": f"""SELECT b.*, {_each('g.{m}', _M[:3])}, coalesce(g.sst4, g.nsst, g.sst) AS {_M[3]}
@@ -93,7 +93,7 @@ LAYERS = {
     ),
     "complete": """SELECT * EXCLUDE (bad) FROM (SELECT *, sum(CASE WHEN metric_value IS NULL OR isnan(metric_value) THEN 1 ELSE 0 END)
         OVER (PARTITION BY event_date, aoi_id, product_id, metric_id) AS bad FROM long) WHERE bad = 0""",
-    "ranked": """SELECT *, CASE WHEN product_id = 'GFW' AND metric_value <= 0 THEN 0.0::DOUBLE WHEN count(*) OVER s = 1 THEN 100.0::DOUBLE ELSE percent_rank() OVER (s ORDER BY round(metric_value, 9)) * 100 END AS relative_score
+    "ranked": """SELECT *, CASE WHEN product_id = 'GFW' AND metric_value <= 0 THEN 0.0::DOUBLE WHEN count(*) OVER s = 1 THEN 100.0::DOUBLE ELSE percent_rank() OVER (s ORDER BY round(metric_value + 1.234e-11, 9)) * 100 END AS relative_score
         FROM complete WINDOW s AS (PARTITION BY event_date, aoi_id, product_id, metric_id, resolution_km)""",
     "cells": """SELECT *, CASE WHEN relative_score >= 80 THEN 'very_high' WHEN relative_score >= 60 THEN 'high' WHEN relative_score >= 40 THEN 'medium'
         WHEN relative_score >= 20 THEN 'low' ELSE 'very_low' END AS display_level FROM ranked""",
@@ -117,20 +117,35 @@ LAYERS = {
     "counted": f"""SELECT {_DAY}, status_class, count(*) AS cell_count, sum(fishing_hours) AS fishing_hours_total, avg(productivity_score) AS productivity_score_avg,
         avg(fishing_score) AS fishing_score_avg FROM classed GROUP BY ALL""",
     "status": f"SELECT *, cell_count / sum(cell_count) OVER (PARTITION BY {_DAY}) AS cell_ratio FROM counted",
-    "scopes": f"""SELECT event_date, 'probe' AS aoi_id, product_id, metric_id, resolution_km FROM (SELECT event_date FROM days WHERE event_date >= DATE '2024-01-01'),
+    "scopes": f"""SELECT event_date, '$AREA' AS aoi_id, product_id, metric_id, resolution_km FROM (SELECT event_date FROM days WHERE event_date >= DATE '2024-01-01'),
         (VALUES {', '.join(f"('{p}', '{m}')" for p, m, _ in PUBLISHED)}) v(product_id, metric_id), (SELECT CAST(unnest([{', '.join(map(str, RESOLUTIONS_KM))}]) AS INT) AS resolution_km)""",
 }
 
 
+
+def _of_area(sql: str, area_id: str) -> str:
+    a = AREAS[area_id]
+    values = {
+        "$AREA": a.id,
+        "$LAT": f"{a.min_lat} AND {a.max_lat}",
+        "$LON": f"{a.min_lon} AND {a.max_lon}",
+        "$ROWS": f"{int((90 - a.max_lat) * 24)}, {int((90 - a.min_lat) * 24)}",
+        "$COLS": f"{int((a.min_lon + 180) * 24)}, {int((a.max_lon + 180) * 24)}",
+    }
+    for name, value in values.items():
+        sql = sql.replace(name, value)
+    return placed(sql, area_id)
+
+
 #: Added before results are rounded to 6 digits, on both sides: means of values of 6 digits often lie halfway, where noise in
 #: the last bit would decide.
 NUDGE = 1.234e-8
 
 
-def over(select: str) -> str:
-    """A query on the layers; those it doesn't need cost nothing."""
+def over(select: str, area_id: str = "probe") -> str:
+    """A query on the layers of one area; those it doesn't need cost nothing."""
     select = select.replace(", 6)", f" + {NUDGE}, 6)")
-    return "WITH " + ",\n".join(f'"{name}" AS ({sql})' for name, sql in LAYERS.items()) + "\n" + select
+    return _of_area("WITH " + ",\n".join(f'"{name}" AS ({sql})' for name, sql in LAYERS.items()) + "\n" + select, area_id)
 
 
 def rounded(select: str, doubles: str = "", others: str = "") -> str:

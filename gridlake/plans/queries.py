@@ -6,6 +6,7 @@ Doubles are rounded to 6 digits and smallints widened on both sides, so that res
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,8 +17,9 @@ from gridlake.functions import indicators as I
 from gridlake.model import AREAS, ENVIRONMENT, KEYS, PRODUCTS, PUBLISHED, SCORE_COLUMNS
 from gridlake.operators import checks, clean, daily, dashboard, features, fill, score, spine
 from gridlake.plans import serving
-from gridlake.plans.layers import END, START, Layers
+from gridlake.plans.layers import END, START, Layers, together
 from gridlake.plans.layers_sql import NUDGE, over, rounded
+from gridlake.plans.publish import published
 from gridlake.sources import files, sinks
 from gridlake.sources.workspace import new_folder
 
@@ -101,9 +103,10 @@ def round_metrics(x: Layers) -> DataFrame:
     return clean.round_columns(clean.round_columns(rows, 2, ["metric_value"]), 3, ["lat"]).select("event_date", "product", "metric_value", "lat")
 
 
-@register()
+@register(over("SELECT event_date, grid_id, round(chlor_a, 6) AS chlor_a, '1.0.0' AS pipeline_version, true AS stamped FROM grid"))
 def audit_columns(x: Layers) -> DataFrame:
-    return clean.audited(x.grid())
+    stamped = (F.col("updated_at_utc") <= F.current_timestamp()) & (F.col("updated_at_utc") > F.lit("2024-01-01").cast("timestamp"))
+    return clean.audited(x.grid()).select("event_date", "grid_id", "chlor_a", "pipeline_version", stamped.alias("stamped"))
 
 
 @register(over("SELECT event_date, aoi_id, product_id, metric_id, resolution_km, grid_id, display_level, value_source, round(relative_score, 6) AS relative_score FROM cells WHERE event_date BETWEEN DATE '2024-01-18' AND DATE '2024-01-20'"))
@@ -186,9 +189,11 @@ def status_class(x: Layers) -> DataFrame:
     return dashboard.metric_pairs(x.cells()).select("event_date", "aoi_id", "resolution_km", "grid_id", named.alias("status_class"))
 
 
-@register()
+@register(over("SELECT grid_id, 1::BIGINT AS shards, count(*) AS rows, true AS in_range FROM grid GROUP BY grid_id"))
 def hash_shard(x: Layers) -> DataFrame:
-    return x.grid().groupBy(I.shard(F.col("grid_id"), 8).alias("shard")).agg(F.count("*").alias("rows"), F.countDistinct("grid_id").alias("cells"))
+    """Each cell is in one of 8 shards on all its days."""
+    sharded = x.grid().withColumn("shard", I.shard(F.col("grid_id"), 8))
+    return sharded.groupBy("grid_id").agg(F.countDistinct("shard").alias("shards"), F.count("*").alias("rows"), F.bool_and(F.col("shard").between(0, 7)).alias("in_range"))
 
 
 @register(over("SELECT DISTINCT event_date, CAST(event_date - DATE '1970-01-01' AS INT) AS day_number, CAST(event_date - 6 AS DATE) AS week_before FROM conformed"))
@@ -357,11 +362,20 @@ def describe_metrics(x: Layers) -> DataFrame:
     return checks.describe(x.grid(), _PROFILED)
 
 
-@register(over("SELECT event_date, aoi_id, product_id, metric_id, resolution_km, round(avg(relative_score), 6) AS average_score, round(max(relative_score), 6) AS maximum_score, count(*) AS cell_count, round(avg(data_coverage), 6) AS data_coverage FROM cells GROUP BY ALL"))
+_SUMMARY = "SELECT event_date, aoi_id, product_id, metric_id, resolution_km, round(avg(relative_score), 6) AS average_score, round(max(relative_score), 6) AS maximum_score, count(*) AS cell_count, round(avg(data_coverage), 6) AS data_coverage FROM cells GROUP BY ALL"
+
+
+@register(over(_SUMMARY))
 def metric_summary(x: Layers) -> DataFrame:
     return dashboard.metric_summary(x.cells())
 
 
+@register(over(_SUMMARY, "wide"))
+def metric_summary_wide(x: Layers) -> DataFrame:
+    """The same over 57,600 cells a day, where few cells are observed and all fill levels are used."""
+    return dashboard.metric_summary(replace(x, area_id="wide").cells())
+
+
 @register(over(" UNION ALL ".join(f"SELECT '{n}' AS dataset, CAST(year(event_date) AS INT) AS year, count(DISTINCT event_date) AS days FROM {t} GROUP BY ALL" for n, t in (("backbone", "backbone"), ("grid", "grid"), ("map_metric", "cells"), ("status", "status")))))
 def dates_per_year(x: Layers) -> DataFrame:
     return checks.dates_per_year(backbone=x.backbone(), grid=x.grid(), map_metric=x.cells(), status=x.status())
@@ -404,6 +418,19 @@ def share_of_total(x: Layers) -> DataFrame:
     return dashboard.daily_base(x.cells()).select(*_SCOPE, dashboard.share_of_total().alias("share_of_all_fishing_hours"))
 
 
+_SHARES = "SELECT event_date, aoi_id, resolution_km, fishing_hours_total FROM daily"
+
+
+@register(
+    "SELECT event_date, aoi_id, resolution_km, round(CASE WHEN sum(fishing_hours_total) OVER t > 0 THEN fishing_hours_total / sum(fishing_hours_total) OVER t ELSE 0.0 END + "
+    + f"{NUDGE}, 6) AS share_of_all_fishing_hours FROM (({over(_SHARES)}) UNION ALL ({over(_SHARES, 'corner')})) WINDOW t AS (PARTITION BY event_date, resolution_km)"
+)
+def share_of_areas(x: Layers) -> DataFrame:
+    """Each of two areas' part of their hours on a day; the smaller one lies inside the other."""
+    base = dashboard.daily_base(together([x, replace(x, area_id="corner")]))
+    return base.select(*_SCOPE, dashboard.share_of_total().alias("share_of_all_fishing_hours"))
+
+
 @register(rounded("FROM dashboard", "fishing_hours_7d_avg sustainability_pressure_7d_avg", " ".join(_SCOPE)))
 def trailing_7d(x: Layers) -> DataFrame:
     base = dashboard.daily_base(x.cells())
@@ -445,16 +472,27 @@ def quality_verdict(x: Layers) -> DataFrame:
     return _judged(x).select("output_rows", "duplicate_key_rows", "null_key_rows", "missing_day_count", "groups_passed", "passed")
 
 
-@register()
-def quality_report_json(x: Layers) -> DataFrame:
+_VERDICT = "SELECT {columns} FROM (SELECT output_rows, output_rows > 0 AND output_rows = distinct_key_rows AND observed_day_count = 30 AND groups_passed AS passed FROM (SELECT count(*) AS output_rows, count(DISTINCT (event_date, aoi_id, grid_id, grid_row, grid_col)) AS distinct_key_rows, count(DISTINCT event_date) AS observed_day_count, count(chlor_a) > 0 AND count(poc) > 0 AND count(nflh) > 0 AND (count(sst) > 0 OR count(nsst) > 0 OR count(sst4) > 0) AS groups_passed FROM grid))"
+
+
+def _report(x: Layers) -> str:
     path = new_folder(x.spark, "report")
     sinks.write_report(checks.report_json(_judged(x), dataset="daily_grid", aoi_id=x.area_id), path)
-    return x.spark.read.text(path)
+    return path
+
+
+@register(over(_VERDICT.format(columns="'daily_grid' AS dataset, 'probe' AS aoi_id, output_rows, passed")))
+def quality_report_json(x: Layers) -> DataFrame:
+    """The report as it was written, parsed back."""
+    written = x.spark.read.text(_report(x)).select(F.from_json("value", "dataset string, aoi_id string, output_rows long, passed boolean").alias("r"))
+    return written.select("r.*")
 
 
-@register()
+@register(over(_VERDICT.format(columns="passed, output_rows, 1::BIGINT AS reports")))
 def quality_gate(x: Layers) -> DataFrame:
-    return checks.gate(_judged(x), strict=False).select("passed", "output_rows")
+    """In the order of the job: the report is written first, then the gate passes the verdict on (strict, it would raise on a failed one)."""
+    reports = x.spark.read.text(_report(x)).count()
+    return checks.gate(_judged(x), strict=False).select("passed", "output_rows", F.lit(reports).cast("long").alias("reports"))
 
 
 _PAIRS = tuple((c, f"{c}_source") for c in _VALUES)
@@ -507,27 +545,27 @@ def reconcile_layers(x: Layers) -> DataFrame:
 
 @register(over("SELECT event_date, aoi_id, product_id, metric_id, resolution_km, count(*) AS cells FROM cells WHERE resolution_km = 16 GROUP BY ALL"))
 def availability(x: Layers) -> DataFrame:
-    return serving.availability(x.cells(), aoi=x.area_id, resolution=16)
+    return serving.availability(published(x).cells(), aoi=x.area_id, resolution=16)
 
 
 @register(over("SELECT grid_id, grid_row, grid_col, round(relative_score, 6) AS relative_score, display_level, value_source, round(data_coverage, 6) AS data_coverage, round(relative_score, 6) AS value, resolution_km FROM cells WHERE event_date = DATE '2024-01-20' AND product_id = 'CHL' AND resolution_km = 4"))
 def daily_grid(x: Layers) -> DataFrame:
-    return serving.daily_grid(x.cells(), DAY, x.area_id, "CHL", "chlor_a", 4)
+    return serving.daily_grid(published(x).cells(), DAY, x.area_id, "CHL", "chlor_a", 4)
 
 
 @register(rounded("FROM (SELECT *, fishing_hours_score_avg AS average FROM dashboard) WHERE event_date = DATE '2024-01-20' AND resolution_km = 16", " ".join((*_DAILY, *_RATIOS, *_TREND, "average")), "event_date aoi_id resolution_km cell_count"))
 def daily_summary(x: Layers) -> DataFrame:
-    return serving.daily_summary(x.dashboard(), DAY, x.area_id, "GFW", "fishing_hours", 16)
+    return serving.daily_summary(published(x).dashboard(), DAY, x.area_id, "GFW", "fishing_hours", 16)
 
 
 @register(over("SELECT event_date, round(ocean_productivity_score_avg, 6) AS value FROM dashboard WHERE resolution_km = 32 AND ocean_productivity_score_avg IS NOT NULL AND event_date BETWEEN DATE '2024-01-05' AND DATE '2024-02-04'"))
 def trend(x: Layers) -> DataFrame:
-    return serving.trend(x.dashboard(), DAY, x.area_id, "PRODUCTIVITY", "ocean_productivity_score", 32, 15)
+    return serving.trend(published(x).dashboard(), DAY, x.area_id, "PRODUCTIVITY", "ocean_productivity_score", 32, 15)
 
 
 @register(rounded("FROM status WHERE event_date = DATE '2024-01-20' AND resolution_km = 4", _STATUS, "status_class cell_count"))
 def status_by_scope(x: Layers) -> DataFrame:
-    return serving.status_by_scope(x.status(), DAY, x.area_id, 4)
+    return serving.status_by_scope(published(x).status(), DAY, x.area_id, 4)
 
 
 # ---- sources and sinks (written, then read back) -----------------------------------------------------------------
@@ -566,9 +604,10 @@ def ingest_recursive(x: Layers) -> DataFrame:
     return x.spark.read.parquet(out).groupBy("year").agg(F.count("*").alias("n"), F.round(F.sum("hours"), 4).alias("hours"))
 
 
-@register()
+@register(over("SELECT product, count(DISTINCT (year(date), month(date))) AS files FROM observations WHERE product NOT IN ('CHL', 'POC') GROUP BY product"))
 def incremental_files(x: Layers) -> DataFrame:
     found = files.listing(x.spark, _monthly(x), "*.parquet").withColumn("product", F.regexp_extract("path", "product=([^/]+)", 1))
+    found = found.withColumn("name", F.concat_ws("/", "product", "name"))  # a task names its files alike in all folders
     done = found.where(F.col("product").isin("CHL", "POC"))
     return files.pending_files(found, done).groupBy("product").agg(F.count("*").alias("files"))
 
@@ -582,22 +621,24 @@ def date_from_filename(x: Layers) -> DataFrame:
     return x.observations().select(F.expr(name).alias("name")).distinct().withColumn("parsed", I.date_from_name(F.col("name")))
 
 
-@register()
+@register(over("SELECT 'run-1' AS run_id, product, date AS event_date, 1::BIGINT AS files, true AS hashed FROM observations GROUP BY ALL"))
 def file_manifest(x: Layers) -> DataFrame:
+    """A file for each product and day, and none of these days reported as broken."""
     path = new_folder(x.spark, "days")
     x.observations().withColumn("event_date", F.col("date")).repartition("product", "event_date").write.partitionBy("product", "event_date").parquet(path)
     manifest = files.file_manifest(x.spark, path, "run-1")
     broken = files.file_count_violations(manifest, [p.id for p in PRODUCTS], START, END)
-    return manifest.join(broken, ["product", "event_date"], "left").select("run_id", "product", "event_date", "bytes", "sha256", F.coalesce("files", F.lit(1)).alias("files"))
+    hashed = (F.length("sha256") == 64) & (F.col("bytes") > 0)
+    return manifest.join(broken, ["product", "event_date"], "left").select("run_id", "product", "event_date", F.coalesce("files", F.lit(1)).cast("long").alias("files"), hashed.alias("hashed"))
 
 
-@register()
+@register(over("SELECT CAST(year(date) AS VARCHAR) AS year, format, 1::BIGINT AS files, true AS has_ratio FROM observations, (SELECT unnest(['csv', 'parquet']) AS format) GROUP BY ALL"))
 def file_inventory(x: Layers) -> DataFrame:
     root = new_folder(x.spark, "formats")
-    tagged = x.observations().withColumn("year", F.year("date"))
+    tagged = x.observations().withColumn("year", F.year("date")).repartition("year")
     tagged.write.partitionBy("year").csv(f"{root}/csv", header=True)
     tagged.write.partitionBy("year").parquet(f"{root}/parquet")
-    return files.file_inventory(x.spark, root, "year")
+    return files.file_inventory(x.spark, root, "year").select("year", "format", "files", (F.col("csv_to_parquet") > 0).alias("has_ratio"))
 
 
 _RASTER_SQL = """WITH c AS (SELECT DATE '2024-01-01' + CAST(vec_id % 30 AS INT) AS date, vec_id, embedding, unnest(range(8)) AS i FROM embeddings),

@@ -37,20 +37,20 @@ def write_snapshot(df: DataFrame, target: str, max_records: int = 2_000_000, par
 
 
 def upsert_partitions(df: DataFrame, table: str, partitions: Sequence[str]) -> None:
-    """Create a partitioned table, or replace the partitions that the data has; sorted inside each file."""
+    """Create a partitioned table, or replace the partitions that the data has; sorted inside each file.
+
+    An existing table is written by its path, so that the overwrite mode belongs to this write and not to the session.
+    """
     spark = df.sparkSession
     ordered = df.repartition(*partitions).sortWithinPartitions(*partitions, *[c for c in _SORTED_BY if c in df.columns])
+    writer = ordered.write.option("compression", "zstd").partitionBy(*partitions)
     if spark.catalog.tableExists(table):
-        names = spark.table(table).columns
-        mode = "spark.sql.sources.partitionOverwriteMode"
-        before = spark.conf.get(mode)
-        spark.conf.set(mode, "dynamic")  # insertInto takes it from the session only
-        try:
-            ordered.select(*names).write.mode("overwrite").insertInto(table)
-        finally:
-            spark.conf.set(mode, before)
+        where = spark.sql("DESCRIBE TABLE EXTENDED " + table).where("col_name = 'Location'").first().data_type
+        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(where)
+        spark.catalog.recoverPartitions(table)
+        spark.catalog.refreshTable(table)
     else:
-        ordered.write.format("parquet").option("compression", "zstd").partitionBy(*partitions).saveAsTable(table)
+        writer.format("parquet").saveAsTable(table)
 
 
 def replace_range(current: DataFrame, new: DataFrame, start: date, end: date) -> DataFrame:
@@ -69,7 +69,10 @@ def write_report(report: DataFrame, path: str) -> None:
 
 
 def compact(spark: SparkSession, path: str, out: str, target_bytes: int = 256 << 20) -> None:
-    """Rewrite a folder's files at about the target size, content unchanged; sizes come from the listing, not from reading."""
+    """Rewrite a folder's files at about the target size, content unchanged; sizes come from the listing, not from reading.
+
+    Neighbouring splits are read one after another by one task, without a shuffle, so rows sorted inside files stay so.
+    """
     table = spark.read.parquet(path)
     total = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).agg(F.sum("length")).first()[0] or 0
-    table.repartition(max(1, -(-total // target_bytes))).write.mode("overwrite").option("compression", "zstd").parquet(out)
+    table.coalesce(max(1, -(-total // target_bytes))).write.mode("overwrite").option("compression", "zstd").parquet(out)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date, timedelta
+from hashlib import sha256
 
 import pytest
 from pyspark.sql import Window
@@ -12,7 +13,8 @@ from gridlake.functions import grid as G
 from gridlake.functions import indicators as I
 from gridlake.model import AREAS, KEYS, Area
 from gridlake.operators import checks, clean, daily, dashboard, features, fill, score, spine
-from gridlake.plans import serving
+from gridlake.plans import publish, serving
+from gridlake.plans.layers import Layers
 from gridlake.sources import files, sinks
 
 D1, D2 = date(2024, 1, 1), date(2024, 1, 2)
@@ -24,13 +26,24 @@ def long_rows(spark, rows):
     return spark.createDataFrame([(d, "probe", p, m, km, f"c{c}", 1, c, v, "observed" if v is not None else "no_data", 1.0) for d, p, m, km, c, v in rows], LONG)
 
 
-def test_incomplete_metric_day_is_dropped_at_every_resolution(spark):
-    chl, prod = ("CHL", "chlor_a"), ("PRODUCTIVITY", "ocean_productivity_score")
-    rows = [(D1, *chl, 4, 1, 1.0), (D1, *chl, 4, 2, 2.0), (D1, *prod, 4, 1, None), (D1, *prod, 4, 2, 3.0), (D1, *prod, 16, 1, 3.0), (D2, *prod, 4, 1, 1.0), (D2, *chl, 4, 1, float("nan"))]
-    kept = score.relative_score(score.complete_scopes(long_rows(spark, rows)))
-    assert {(r.event_date, r.metric_id, r.resolution_km) for r in kept.collect()} == {(D1, "chlor_a", 4), (D2, "ocean_productivity_score", 4)}
-    omitted = checks.omitted_scopes(kept, "probe", D1, D2)
-    assert omitted.count() == 2 * 5 * 3 - 2
+def test_gate_judges_each_area_day_and_metric_alone(spark):
+    """One missing cell at any resolution withholds that metric's day in that area, and nothing else."""
+    days = [date(2024, 3, d) for d in (9, 10, 11)]
+    metrics = [("GFW", "fishing_hours"), ("SST", "sea_temperature")]
+    holes = {("north", days[0], "sea_temperature", 32, 7): None, ("south", days[1], "fishing_hours", 4, 3): float("nan"), ("south", days[2], "sea_temperature", 4, 4): None}
+    rows = []
+    for area in ("north", "south"):
+        for day in days:
+            for product, metric in metrics:
+                for km, cells in ((4, (3, 4, 5)), (16, (6,)), (32, (7,))):
+                    for c in cells:
+                        value = holes.get((area, day, metric, km, c), 10.0 * c)
+                        rows.append((day, area, product, metric, km, f"c{c}", 1, c, value, "observed" if value is not None else "no_data", 1.0))
+    kept = score.complete_scopes(spark.createDataFrame(rows, LONG))
+    withheld = {(area, day, metric) for area, day, metric, _, _ in holes}
+    want = {(a, d, m, km) for a in ("north", "south") for d in days for _, m in metrics for km in (4, 16, 32) if (a, d, m) not in withheld}
+    assert {(r.aoi_id, r.event_date, r.metric_id, r.resolution_km) for r in kept.collect()} == want
+    assert checks.omitted_scopes(kept.where("aoi_id = 'north'"), "north", days[0], days[-1]).count() == 3 * 5 * 3 - sum(x[0] == "north" for x in want)
 
 
 @pytest.mark.parametrize(("values", "scores"), [([0, 0, 5], [0, 0, 100]), ([0, 3, 5], [0, 50, 100]), ([0, 0], [0, 0]), ([7], [100]), ([0], [0]), ([2, 2, 4], [0, 0, 100])])
@@ -40,12 +53,25 @@ def test_fishing_scores(spark, values, scores):
     assert [got[f"c{c}"] for c in range(len(values))] == scores
 
 
-def test_missing_stays_missing_in_formulas(spark):
-    sources = {f"{m}_source": "observed" for m in ("chlor_a", "poc", "sea_temperature_celsius", "fishing_hours")} | {"nflh_source": "no_data"}
-    row = spark.createDataFrame([(D1, "probe", "c", 1, 1, 1.0, 2.0, None, 20.0, 0.0)], "event_date date, aoi_id string, grid_id string, grid_row int, grid_col int, chlor_a double, poc double, nflh double, sea_temperature_celsius double, fishing_hours double")
-    got = features.with_indicators(row.withColumns({k: F.lit(v) for k, v in sources.items()})).first()
-    assert got.ocean_productivity_score is None and got.ocean_productivity_score_source == "no_data"
-    assert got.sustainability_pressure is None and got.sustainability_pressure_source == "no_data" and got.data_coverage == 0.75
+@pytest.mark.parametrize("absent", ["chlor_a", "poc", "nflh", "sea_temperature_celsius", None])
+def test_indicators_need_all_their_inputs(spark, absent):
+    """Of four cells one lacks a value: only what is made of that value is missing there, and no mean counts it as zero."""
+    names = ("chlor_a", "poc", "nflh", "sea_temperature_celsius")
+    rows = []
+    for c in range(4):
+        values = [None if c == 3 and n == absent else float((c + 1) * (k + 2)) for k, n in enumerate(names)]
+        rows.append((D2, "south", f"c{c}", 1, c, *values, *["no_data" if v is None else "observed" for v in values], 3.0 * c, "observed"))
+    columns = ", ".join([*[f"{n} double" for n in names], *[f"{n}_source string" for n in names]])
+    table = spark.createDataFrame(rows, f"event_date date, aoi_id string, grid_id string, grid_row int, grid_col int, {columns}, fishing_hours double, fishing_hours_source string")
+    got = {r.grid_col: r for r in features.with_indicators(table).collect()}
+    lacking = absent in names[:3]
+    assert (got[3].ocean_productivity_score is None) == (got[3].sustainability_pressure is None) == lacking
+    assert got[3].ocean_productivity_score_source == got[3].sustainability_pressure_source == ("no_data" if lacking else "observed")
+    assert got[3].data_coverage == (1.0 if absent is None else 0.75)
+    means = [(1 + 2 + 3) / 3 if n == absent else (1 + 2 + 3 + 4) / 4 for n in names[:3]]
+    for c in range(3):
+        assert got[c].ocean_productivity_score == pytest.approx(sum((c + 1) / m for m in means))
+        assert got[c].sustainability_pressure == pytest.approx(3.0 * c / got[c].ocean_productivity_score)
 
 
 @pytest.fixture(scope="module")
@@ -199,3 +225,93 @@ def test_serving_arguments(spark):
 def test_rasters(spark):
     table = spark.createDataFrame([(D1, [1.0, 2.0], [5.0], [[1.0], [-9.0]], [[0], [1]])], "date date, lat array<float>, lon array<float>, values array<array<float>>, quality array<array<int>>")
     assert [tuple(r) for r in files.raster_to_rows(table, [-9.0]).collect()] == [(D1, 1.0, 5.0, 1.0, 0)]
+
+
+def test_outer_box_reaches_the_scan(spark, tmp_path):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    rows = [("2024-01-02", "CHL", 24.0 + i / 10, 119.5 + i / 10, 1.0, 1) for i in range(12)]
+    spark.createDataFrame(rows, "date string, product string, lat double, lon double, value double, quality_level int").write.parquet(f"{tmp_path}/obs")
+    areas = [AREAS["probe"], Area("east", 24.2, 24.6, 120.3, 120.6)]
+    found = daily.clean_observations(spark.read.parquet(f"{tmp_path}/obs"), areas, D1, D2)
+    plan = found._jdf.queryExecution().toString()
+    pushed = plan[plan.index("PushedFilters") :]
+    for part in ("GreaterThanOrEqual(lat,24.0)", "LessThanOrEqual(lat,25.0)", "GreaterThanOrEqual(lon,120.0)", "LessThanOrEqual(lon,121.0)"):
+        assert part in pushed
+    want = sorted((a.id, r[2]) for r in rows for a in areas if a.min_lat <= r[2] <= a.max_lat and a.min_lon <= r[3] <= a.max_lon)
+    assert sorted((r.aoi_id, r.lat) for r in found.collect()) == want
+
+
+def test_night_temperature_stands_between(spark):
+    rows = [(D1, c, sst4, nsst, sst) for c, (sst4, nsst, sst) in enumerate([(4.0, 5.0, 6.0), (None, 5.0, 6.0), (None, None, 6.0), (None, None, None), (None, 5.0, None)])]
+    seen = spark.createDataFrame(rows, "event_date date, c int, sst4 double, nsst double, sst double")
+    got = [r.t for r in seen.select("c", I.temperature().alias("t")).orderBy("c").collect()]
+    assert got == [4.0, 5.0, 6.0, None, 5.0]
+
+
+def test_sinks_lay_files_out(spark, tmp_path):
+    rows = [(date(2024, 1, 1 + i % 3), "probe", 4, "CHL", "chlor_a", f"g{i:03}", float(i)) for i in range(300)]
+    df = spark.createDataFrame(rows, "event_date date, aoi_id string, resolution_km int, product_id string, metric_id string, grid_id string, metric_value double")
+    sinks.write_sharded(df, f"{tmp_path}/sharded", shards=4)
+    per_day = {d.name: sum(1 for _ in d.glob("*.zstd.parquet")) for d in (tmp_path / "sharded").glob("event_date=*")}
+    assert len(per_day) == 3 and all(1 <= n <= 4 for n in per_day.values())
+    shards = spark.read.parquet(f"{tmp_path}/sharded").select(I.shard(F.col("grid_id"), 4).alias("s"), F.input_file_name().alias("f")).distinct()
+    assert shards.groupBy("f").count().count() <= 12
+    sinks.write_snapshot(df, f"{tmp_path}/snap")
+    assert sorted(p.relative_to(tmp_path / "snap").parent.as_posix() for p in (tmp_path / "snap").rglob("*.zstd.parquet")) == [f"event_date=2024-01-0{d}/aoi_id=probe/resolution_km=4" for d in (1, 2, 3)]
+    sinks.write_snapshot(df.where("event_date = date '2024-01-02'").withColumn("metric_value", F.lit(0.0)), f"{tmp_path}/snap")
+    assert spark.read.parquet(f"{tmp_path}/snap").groupBy("event_date").agg(F.sum("metric_value").alias("s")).where("s = 0").count() == 1
+    df.repartition(12, "grid_id").sortWithinPartitions("grid_id").write.parquet(f"{tmp_path}/small")
+    sinks.compact(spark, f"{tmp_path}/small", f"{tmp_path}/large")
+    large = list((tmp_path / "large").glob("*.parquet"))
+    assert len(large) == 1 < len(list((tmp_path / "small").glob("*.parquet")))
+    kept = spark.read.parquet(f"{tmp_path}/large")
+    assert kept.exceptAll(df).isEmpty() and kept.count() == 300
+    names = [r.grid_id for r in kept.collect()]
+    assert sum(a > b for a, b in zip(names, names[1:], strict=False)) < 12  # runs stay sorted
+
+
+def test_upsert_leaves_the_session_alone(spark):
+    table, mode = "upsert_test", spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    make = lambda rows: spark.createDataFrame(rows, "grid_id string, v int, event_date date")
+    sinks.upsert_partitions(make([("b", 1, D1), ("a", 2, D1), ("c", 3, D2)]), table, ["event_date"])
+    sinks.upsert_partitions(make([("d", 4, D2), ("e", 5, date(2024, 1, 3))]), table, ["event_date"])
+    assert sorted((r.grid_id, r.v, r.event_date.day) for r in spark.table(table).collect()) == [("a", 2, 1), ("b", 1, 1), ("d", 4, 2), ("e", 5, 3)]
+    assert [r.grid_id for r in spark.table(table).where("event_date = date '2024-01-01'").collect()] == ["a", "b"]
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == mode
+    spark.sql(f"DROP TABLE {table}")
+
+
+def test_file_bookkeeping(spark, tmp_path):
+    for product, day in (("CHL", 1), ("CHL", 2), ("POC", 1)):
+        folder = tmp_path / f"files/product={product}/event_date=2024-01-0{day}"
+        folder.mkdir(parents=True)
+        (folder / "x.parquet").write_bytes(f"{product}{day}".encode())
+    (tmp_path / "files/product=CHL/event_date=2024-01-02/again.parquet").write_bytes(b"twice")
+    (tmp_path / "files/product=CHL/event_date=2024-01-02/again.csv").write_bytes(b"0123456789")
+    manifest = files.file_manifest(spark, str(tmp_path / "files"), "r")
+    assert {(r.product, r.event_date.day, r.bytes, r.sha256) for r in manifest.where("file = 'x.parquet'").collect()} == {(p, d, 4, sha256(f"{p}{d}".encode()).hexdigest()) for p, d in (("CHL", 1), ("CHL", 2), ("POC", 1))}
+    broken = files.file_count_violations(manifest, ["CHL", "POC"], D1, D2)
+    assert {(r.product, r.event_date.day, r.files) for r in broken.collect()} == {("CHL", 2, 2), ("POC", 2, 0)}
+    counted = {(r.event_date, r.format): (r.files, r.bytes, r.csv_to_parquet) for r in files.file_inventory(spark, str(tmp_path / "files"), "event_date").collect()}
+    assert counted == {("2024-01-01", "parquet"): (2, 8, None), ("2024-01-02", "parquet"): (2, 9, 10 / 9), ("2024-01-02", "csv"): (1, 10, 10 / 9)}
+    sinks.write_report(checks.report_json(spark.sql("select true as passed, 3L as output_rows"), dataset="d"), f"{tmp_path}/report")
+    assert [r.value for r in spark.read.text(f"{tmp_path}/report").collect()] == ['{"dataset":"d","passed":true,"output_rows":3}']
+    stamped = clean.audited(spark.range(2), "9").collect()
+    assert len({r.updated_at_utc for r in stamped}) == 1 and {r.pipeline_version for r in stamped} == {"9"}
+
+
+def test_serving_reads_partitions(spark, tmp_path):
+    layers = Layers(spark, "/root/testdata/sf0.001", start=D1, end=date(2024, 1, 4))
+    publish.publish(layers, f"file://{tmp_path}/serving")
+    stored = publish.Published(spark, f"file://{tmp_path}/serving")
+    grid = serving.daily_grid(stored.cells(), D2, "probe", "CHL", "chlor_a", 16)
+    plan = grid._jdf.queryExecution().toString()
+    scan = plan[plan.rindex("PartitionFilters") :].split("PushedFilters")[0]
+    assert all(part in scan for part in ("event_date", "aoi_id", "resolution_km"))
+    assert grid.count() == 36
+    trend = serving.trend(stored.dashboard(), D2, "probe", "CHL", "chlor_a", 32, None)
+    assert "resolution_km" in trend._jdf.queryExecution().toString().split("PartitionFilters")[-1].split("PushedFilters")[0]
+    assert [tuple(r) for r in trend.collect()] == [tuple(r) for r in serving.trend(layers.dashboard(), D2, "probe", "CHL", "chlor_a", 32, None).collect()]
+    counts = lambda status: sorted((r.event_date, r.resolution_km, r.status_class, r.cell_count) for r in status.collect())
+    assert counts(stored.status()) == counts(layers.status())

@@ -10,7 +10,8 @@ SF = "/root/testdata/sf0.001"
 # The driver compares every query; these cover each layer once.
 CHECKED = (
     "silver_daily_grid silver_effort_grid gap_fill map_metric dashboard_daily status_distribution quality_profile contract_check degraded_report "
-    "omitted_scopes describe_metrics date_from_filename raster_to_rows upsert_partitions csv_to_parquet summary_components trend"
+    "omitted_scopes describe_metrics date_from_filename raster_to_rows upsert_partitions csv_to_parquet summary_components trend "
+    "audit_columns hash_shard quality_report_json quality_gate incremental_files file_manifest file_inventory share_of_areas metric_summary_wide daily_grid availability daily_summary status_by_scope clip_aoi"
 ).split()
 
 
