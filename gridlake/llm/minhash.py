@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridlake.llm.components import components
-from gridlake.llm.scratch import saved
+from gridlake.llm.scratch import dropped, saved
 from gridlake.llm.text import chunks, mix, shingle_sets
 
 _U = np.uint64
@@ -179,44 +179,68 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings(), id_col: str = "do
 def _links(members: DataFrame, info: DataFrame, classes: DataFrame, texts: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
     """Confirmed links (a, b) that connect all that is linked, and the components (node, component) they make."""
     pairs = members.where("class <> hub").select(F.least("hub", "class").alias("a"), F.greatest("hub", "class").alias("b")).distinct()
-    tested, sets = _confirmed(_plausible(pairs, info, s), classes, texts, s)
+    tested, sets = _confirmed(saved(_plausible(pairs, info, s), "pairs"), classes, texts, s)
     linked = tested.where("linked").select("a", "b")
     groups = saved(components(linked.toDF("u", "v")), "components")
-    state = _apart(members, groups, "class")
+    state = _apart(members, groups)
+    dropped(members)
+    if state.isEmpty():
+        return linked, groups
+    near = saved(_profiled(state, info, sets), "profiles")
+    dropped(state)
     for turn in range(s.turns):
-        if state.isEmpty():
-            return linked, groups
-        more, sets = _confirmed(_plausible(next_hub_pairs(state, turn), info, s), classes, texts, s, sets)
-        new = more.where("linked").select("a", "b")
+        pairs = saved(next_hub_pairs(near, turn, s).join(tested.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
+        if pairs.isEmpty():
+            break
+        more, sets = _confirmed(pairs, classes, texts, s, sets)
+        tested, new = tested.union(more), more.where("linked").select("a", "b")
         if new.isEmpty():
             break
-        linked, tested = linked.union(new), tested.union(more)
+        linked = linked.union(new)
+        dropped(groups)
         groups = saved(components(linked.toDF("u", "v")), "components")
-        state = _apart(state.select("key", "hub", "class"), groups, "class")
-    if not state.isEmpty():
-        pairs = _across(state, info, sets, s).join(tested.select("a", "b"), ["a", "b"], "left_anti")
+        before, near = near, _apart(near, groups)
+        dropped(before)
+    pairs = saved(_across(near, s).join(tested.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
+    if not pairs.isEmpty():
         more, _ = _confirmed(pairs, classes, texts, s, sets)
         linked = linked.union(more.where("linked").select("a", "b"))
         groups = saved(components(linked.toDF("u", "v")), "components")
     return linked, groups
 
 
-def _apart(members: DataFrame, groups: DataFrame, name: str) -> DataFrame:
-    """The members (key, hub, class) of the buckets that lie in several components, with ``component`` and ``hub_component``."""
-    placed = members.join(groups.select(F.col("node").alias(name), "component"), name, "left")
-    placed = saved(placed.select("key", "hub", "class", F.coalesce("component", name).alias("component")), "placed")
+def _apart(members: DataFrame, groups: DataFrame) -> DataFrame:
+    """The members (key, hub, class and more) of the buckets that lie in several components, with ``component`` and ``hub_component``.
+
+    The join reads written tables on both sides, so that adaptive execution can split a bucket that many share.
+    """
+    placed = members.drop("component", "hub_component").join(groups.select(F.col("node").alias("class"), "component"), "class", "left")
+    placed = saved(placed.withColumn("component", F.coalesce("component", "class")), "placed")
     own = F.max(F.when(F.col("class") == F.col("hub"), F.col("component"))).alias("hub_component")
     mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), own).where("low < high")
-    return saved(placed.join(saved(mixed.select("key", "hub_component"), "mixed"), "key"), "apart")
+    mixed = saved(mixed.select("key", "hub_component"), "mixed")
+    found = saved(placed.join(mixed, "key"), "apart")
+    dropped(placed)
+    dropped(mixed)
+    return found
 
 
-def next_hub_pairs(state: DataFrame, turn: int) -> DataFrame:
-    """Pairs (a, b) of each bucket's next hub, one of the members outside the first hub's component, with the members of other components."""
-    outside = state.where("component <> hub_component")
-    chosen = outside.groupBy("key").agg(F.min(F.struct(F.xxhash64("class", F.lit(turn)), "class", "component")).alias("next"))
-    chosen = saved(chosen.select("key", F.col("next.class").alias("next"), F.col("next.component").alias("next_component")), "hubs")
-    pairs = state.join(chosen, "key").where("component <> next_component")
-    return pairs.select(F.least("next", "class").alias("a"), F.greatest("next", "class").alias("b")).distinct()
+def _profiled(state: DataFrame, info: DataFrame, sets: DataFrame) -> DataFrame:
+    near = state.join(info, "class")
+    return near.join(_profiles(near, sets), ["hub", "class"], "left")
+
+
+def next_hub_pairs(near: DataFrame, turn: int, s: Settings) -> DataFrame:
+    """Pairs (a, b) of each bucket's next hub with the members of other components, where a link is possible.
+
+    The next hub is outside the first hub's component, and enough of its shingles stand in some other candidate.
+    """
+    able = F.col("common").isNull() | (100 * F.col("common") >= s.numerator * F.col("n"))
+    order = F.xxhash64("class", F.lit(turn))
+    chosen = near.where((F.col("component") != F.col("hub_component")) & able).groupBy("key").agg(F.min(F.struct(order.alias("order"), "class")).alias("next"))
+    chosen = chosen.select("key", F.col("next.class").alias("class"))
+    x, y = near.join(chosen, ["key", "class"], "left_semi").alias("x"), near.alias("y")
+    return _pairs(x, y, (F.col("x.component") != F.col("y.component")) & _possible(s))
 
 
 def _profiles(members: DataFrame, sets: DataFrame) -> DataFrame:
@@ -238,26 +262,28 @@ def _profiles(members: DataFrame, sets: DataFrame) -> DataFrame:
     return known.select("hub", "class", "common", outside.alias("outside"), "hub_n", "lost")
 
 
-def _across(state: DataFrame, info: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
-    """Pairs (a, b) of a bucket's classes in different components that can still be linked; one side is not linked to the hub.
+def _pairs(x: DataFrame, y: DataFrame, condition: F.Column) -> DataFrame:
+    pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & condition)
+    return pairs.select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")).distinct()
+
+
+def _possible(s: Settings) -> F.Column:
+    """Members ``x`` and ``y`` of a bucket may be linked.
 
     Two members share at most the hub's shingles that neither lacks and what both have outside the hub. Where that is too
-    little for the threshold the pair is left out: it can't be a link. This spares near copies with edits of their own.
+    little for the threshold the pair can't be a link. This spares near copies with edits of their own.
     """
-    near = state.join(info, "class")
-    near = saved(near.join(_profiles(near, sets), ["hub", "class"], "left"), "profiles")
-    x, y = near.where("component <> hub_component").alias("x"), near.alias("y")
     kept = F.col("x.hub_n") - sum((F.bit_count(F.col("x.lost")[i].bitwiseOR(F.col("y.lost")[i])) for i in range(_LOST_WORDS)), F.lit(0))
     most = F.least("x.common", "y.common", kept + F.least("x.outside", "y.outside"))
-    pairs = x.join(
-        y,
-        (F.col("x.key") == F.col("y.key"))
-        & (F.col("x.component") != F.col("y.component"))
-        & ((F.col("y.component") == F.col("y.hub_component")) | (F.col("x.class") < F.col("y.class")))
-        & _near(F.col("x.n"), F.col("y.n"), F.col("x.sketch"), F.col("y.sketch"), s)
-        & (F.col("x.common").isNull() | F.col("y.common").isNull() | ((100 + s.numerator) * most >= s.numerator * (F.col("x.n") + F.col("y.n")))),
-    )
-    return pairs.select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")).distinct()
+    bounded = F.col("x.common").isNull() | F.col("y.common").isNull() | ((100 + s.numerator) * most >= s.numerator * (F.col("x.n") + F.col("y.n")))
+    return _near(F.col("x.n"), F.col("y.n"), F.col("x.sketch"), F.col("y.sketch"), s) & bounded
+
+
+def _across(near: DataFrame, s: Settings) -> DataFrame:
+    """Pairs (a, b) of a bucket's classes in different components that can still be linked; one side is not linked to the hub."""
+    x, y = near.where("component <> hub_component").alias("x"), near.alias("y")
+    once = (F.col("y.component") == F.col("y.hub_component")) | (F.col("x.class") < F.col("y.class"))
+    return _pairs(x, y, (F.col("x.component") != F.col("y.component")) & once & _possible(s))
 
 
 def _near(n: F.Column, m: F.Column, sketch: F.Column, other: F.Column, s: Settings) -> F.Column:
@@ -274,8 +300,7 @@ def _plausible(pairs: DataFrame, info: DataFrame, s: Settings) -> DataFrame:
 
 
 def _confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, s: Settings, sets: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """Candidate pairs of classes with ``linked``, decided on the full shingle sets of one document of each class; and those sets."""
-    pairs = saved(pairs, "pairs")
+    """Candidate pairs (a written table) with ``linked``, decided on the full shingle sets of one document of each class; and those sets."""
     used = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
     missing = used if sets is None else used.join(sets, "class", "left_anti")
     missing = saved(classes.select("class", "id", "high", "low").join(missing, "class"), "wanted")
@@ -283,12 +308,15 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, s: Settin
         read = shingle_table(texts.join(missing, "id"), s)
         read = saved(read.groupBy("class").agg(F.first("shingles").alias("shingles")), "sets")
         sets = read if sets is None else sets.union(read)
+    dropped(missing)
     left = sets.select(F.col("class").alias("a"), F.col("shingles").alias("set_a"))
     right = sets.select(F.col("class").alias("b"), F.col("shingles").alias("set_b"))
     both = F.size(F.array_intersect("set_a", "set_b"))
     union = F.size("set_a") + F.size("set_b") - both
     decided = pairs.join(right, "b").join(left, "a").select("a", "b", (100 * both.cast("long") >= s.numerator * union).alias("linked"))
-    return saved(decided, "links"), sets
+    decided = saved(decided, "links")
+    dropped(pairs)
+    return decided, sets
 
 
 def without_near_duplicates(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
