@@ -34,7 +34,8 @@ class Settings:
     With 40 bands of 5 values a pair at similarity 0.85 shares no bucket with probability 7e-11, at 0.80 with
     1e-7. ``sketch`` bits (one for each signature value) drop a candidate pair before its sets are read when they
     differ more than a pair at the threshold does with probability 1e-9 (six standard deviations). ``turns`` is the
-    most hubs that a bucket tries before its components are compared pair by pair; it changes the work, not the result.
+    most hubs that a bucket tries before its components are compared pair by pair; turns are left out where that costs a
+    member ``crowd`` comparisons or fewer. Both change the work, not the result.
     """
 
     shingle: int = 5
@@ -42,6 +43,7 @@ class Settings:
     permutations: int = 100
     rows: int = 5
     turns: int = 6
+    crowd: int = 16
 
     @property
     def bands(self) -> int:
@@ -112,24 +114,19 @@ def _set_codes(code: np.ndarray, cut: np.ndarray, size: np.ndarray) -> tuple[np.
 
 
 def shingle_table(docs: DataFrame, s: Settings) -> DataFrame:
-    """``class`` and the full set of shingle hashes of each row of ``text, class, high, low`` whose text has that hash."""
+    """``high``, ``low`` and the full set of shingle hashes of each ``text`` that has a word."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk in chunks(batch.column(0)):
-                found = list(shingle_sets(chunk, s.shingle))
-                full = np.array([i for i, x in found if len(x)], np.int64)
-                size = np.array([len(x) for _, x in found if len(x)], np.int64)
-                code = np.concatenate([*[x for _, x in found], np.zeros(0, np.uint64)])
+                found = [x for _, x in shingle_sets(chunk, s.shingle) if len(x)]
+                size = np.array([len(x) for x in found], np.int64)
+                code = np.concatenate([*found, np.zeros(0, np.uint64)])
                 border = np.append(0, np.cumsum(size)).astype(np.int32)
-                high, low = _set_codes(code, border[:-1], size)
-                here = pa.array(chunk.first + full)
-                asked = [batch.column(k).take(here) for k in (1, 2, 3)]
-                same = (asked[1].to_numpy() == high) & (asked[2].to_numpy() == low)
-                both = pa.RecordBatch.from_arrays([asked[0], pa.ListArray.from_arrays(pa.array(border), pa.array(code.view(np.int64)))], ["class", "shingles"])
-                yield both.filter(pa.array(same))
+                hashes = [pa.array(half) for half in _set_codes(code, border[:-1], size)]
+                yield pa.RecordBatch.from_arrays([*hashes, pa.ListArray.from_arrays(pa.array(border), pa.array(code.view(np.int64)))], ["high", "low", "shingles"])
 
-    return docs.select(F.col("text").cast("string").alias("text"), "class", "high", "low").mapInArrow(sets, "class long, shingles array<long>")
+    return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(sets, "high long, low long, shingles array<long>")
 
 
 def near_duplicates(docs: DataFrame, s: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -186,9 +183,11 @@ def _links(members: DataFrame, info: DataFrame, classes: DataFrame, texts: DataF
     dropped(members)
     if state.isEmpty():
         return linked, groups
-    near = saved(_profiled(state, info, sets), "profiles")
-    dropped(state)
-    for turn in range(s.turns):
+    near = _linkable(state, groups, info, sets, s)
+    each = "count_if(component <> hub_component)"  # members that a pair by pair comparison would meet with all others
+    sizes = near.groupBy("key").agg(F.count("*").alias("n"), F.expr(each).alias("out")).agg(F.sum(F.col("n") * F.col("out")), F.sum("n")).first()
+    crowded = sizes[1] is not None and sizes[0] > s.crowd * sizes[1]
+    for turn in range(s.turns if crowded else 0):
         pairs = saved(next_hub_pairs(near, turn, s).join(tested.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
         if pairs.isEmpty():
             break
@@ -216,7 +215,7 @@ def _apart(members: DataFrame, groups: DataFrame) -> DataFrame:
     """
     placed = members.drop("component", "hub_component").join(groups.select(F.col("node").alias("class"), "component"), "class", "left")
     placed = saved(placed.withColumn("component", F.coalesce("component", "class")), "placed")
-    own = F.max(F.when(F.col("class") == F.col("hub"), F.col("component"))).alias("hub_component")
+    own = F.coalesce(F.max(F.when(F.col("class") == F.col("hub"), F.col("component"))), F.min("component")).alias("hub_component")
     mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), own).where("low < high")
     mixed = saved(mixed.select("key", "hub_component"), "mixed")
     found = saved(placed.join(mixed, "key"), "apart")
@@ -225,19 +224,25 @@ def _apart(members: DataFrame, groups: DataFrame) -> DataFrame:
     return found
 
 
-def _profiled(state: DataFrame, info: DataFrame, sets: DataFrame) -> DataFrame:
-    near = state.join(info, "class")
-    return near.join(_profiles(near, sets), ["hub", "class"], "left")
+def _linkable(state: DataFrame, groups: DataFrame, info: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
+    """The rows of ``state`` that can still be linked, with what bounds their intersections; buckets left with one component go first."""
+    bounds = saved(_profiles(state, sets), "profiles")
+    able = state.join(info.select("class", "n"), "class").join(bounds.select("hub", "class", "common"), ["hub", "class"], "left")
+    able = able.where(F.col("common").isNull() | (100 * F.col("common") >= s.numerator * F.col("n")))
+    slim = _apart(able.select("key", "hub", "class"), groups)
+    near = saved(slim.join(info, "class").join(bounds, ["hub", "class"], "left"), "near")
+    for done in (state, bounds, slim):
+        dropped(done)
+    return near
 
 
 def next_hub_pairs(near: DataFrame, turn: int, s: Settings) -> DataFrame:
     """Pairs (a, b) of each bucket's next hub with the members of other components, where a link is possible.
 
-    The next hub is outside the first hub's component, and enough of its shingles stand in some other candidate.
+    The next hub is outside the first hub's component; that of the smallest hash, so buckets with one membership choose alike.
     """
-    able = F.col("common").isNull() | (100 * F.col("common") >= s.numerator * F.col("n"))
     order = F.xxhash64("class", F.lit(turn))
-    chosen = near.where((F.col("component") != F.col("hub_component")) & able).groupBy("key").agg(F.min(F.struct(order.alias("order"), "class")).alias("next"))
+    chosen = near.where("component <> hub_component").groupBy("key").agg(F.min(F.struct(order.alias("order"), "class")).alias("next"))
     chosen = chosen.select("key", F.col("next.class").alias("class"))
     x, y = near.join(chosen, ["key", "class"], "left_semi").alias("x"), near.alias("y")
     return _pairs(x, y, (F.col("x.component") != F.col("y.component")) & _possible(s))
@@ -301,14 +306,23 @@ def _plausible(pairs: DataFrame, info: DataFrame, s: Settings) -> DataFrame:
 
 def _confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, s: Settings, sets: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Candidate pairs (a written table) with ``linked``, decided on the full shingle sets of one document of each class; and those sets."""
-    used = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+    used = saved(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct(), "used")
     missing = used if sets is None else used.join(sets, "class", "left_anti")
     missing = saved(classes.select("class", "id", "high", "low").join(missing, "class"), "wanted")
     if sets is None or not missing.isEmpty():
-        read = shingle_table(texts.join(missing, "id"), s)
+        ids = saved(missing.select("id").distinct(), "ids")
+        read = shingle_table(texts.join(ids, "id"), s).join(missing.select("class", "high", "low"), ["high", "low"])
         read = saved(read.groupBy("class").agg(F.first("shingles").alias("shingles")), "sets")
-        sets = read if sets is None else sets.union(read)
+        dropped(ids)
+        known = read if sets is None else sets.union(read)
+    else:
+        known = sets
+    if sets is not None:  # few of the sets known from before are needed
+        sets = saved(known.join(used, "class", "left_semi"), "needed")
+    else:
+        sets = known
     dropped(missing)
+    dropped(used)
     left = sets.select(F.col("class").alias("a"), F.col("shingles").alias("set_a"))
     right = sets.select(F.col("class").alias("b"), F.col("shingles").alias("set_b"))
     both = F.size(F.array_intersect("set_a", "set_b"))
@@ -316,7 +330,7 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, s: Settin
     decided = pairs.join(right, "b").join(left, "a").select("a", "b", (100 * both.cast("long") >= s.numerator * union).alias("linked"))
     decided = saved(decided, "links")
     dropped(pairs)
-    return decided, sets
+    return decided, known
 
 
 def without_near_duplicates(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
