@@ -34,8 +34,8 @@ class Settings:
     With 40 bands of 5 values a pair at similarity 0.85 shares no bucket with probability 7e-11, at 0.80 with
     1e-7. ``sketch`` bits (one for each signature value) drop a candidate pair before its sets are read when they
     differ more than a pair at the threshold does with probability 1e-9 (six standard deviations). ``turns`` is the
-    most hubs that a bucket tries before its components are compared pair by pair; turns are left out where that costs a
-    member ``crowd`` comparisons or fewer. Both change the work, not the result.
+    most hubs that a bucket tries before its components are compared pair by pair; turns end where that costs a member
+    ``crowd`` comparisons or fewer, or after one that leaves over half of them. Both change the work, not the result.
     """
 
     shingle: int = 5
@@ -184,9 +184,8 @@ def _links(members: DataFrame, info: DataFrame, classes: DataFrame, texts: DataF
     if state.isEmpty():
         return linked, groups
     near = _linkable(state, groups, info, sets, s)
-    each = "count_if(component <> hub_component)"  # members that a pair by pair comparison would meet with all others
-    sizes = near.groupBy("key").agg(F.count("*").alias("n"), F.expr(each).alias("out")).agg(F.sum(F.col("n") * F.col("out")), F.sum("n")).first()
-    crowded = sizes[1] is not None and sizes[0] > s.crowd * sizes[1]
+    left, memberships = _pairs_apart(near)
+    crowded = left > s.crowd * memberships
     for turn in range(s.turns if crowded else 0):
         pairs = saved(next_hub_pairs(near, turn, s).join(tested.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
         if pairs.isEmpty():
@@ -195,19 +194,41 @@ def _links(members: DataFrame, info: DataFrame, classes: DataFrame, texts: DataF
         tested, new = tested.union(more), more.where("linked").select("a", "b")
         if new.isEmpty():
             break
-        linked = linked.union(new)
-        dropped(groups)
-        groups = saved(components(linked.toDF("u", "v")), "components")
+        linked, groups = linked.union(new), _joined(groups, new)
         before, near = near, _apart(near, groups)
         dropped(before)
+        before, (left, memberships) = left, _pairs_apart(near)
+        if 2 * left > before or left <= s.crowd * memberships:
+            break
     pairs = saved(_across(near, s).join(tested.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
     if not pairs.isEmpty():
         more, _ = _confirmed(pairs, classes, texts, s, sets)
-        linked = linked.union(more.where("linked").select("a", "b"))
-        groups = saved(components(linked.toDF("u", "v")), "components")
+        new = more.where("linked").select("a", "b")
+        if not new.isEmpty():
+            linked, groups = linked.union(new), _joined(groups, new)
     return linked, groups
 
 
+def _pairs_apart(near: DataFrame) -> tuple[int, int]:
+    """Ordered pairs of a bucket's members in different components, over all buckets, and the memberships."""
+    parts = near.groupBy("key", "component").agg(F.count("*").alias("c"))
+    buckets = parts.groupBy("key").agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.col("c")).alias("same"))
+    left, memberships = buckets.agg(F.sum(F.col("n") * F.col("n") - F.col("same")), F.sum("n")).first()
+    return left or 0, memberships or 0
+
+
+def _joined(groups: DataFrame, new: DataFrame) -> DataFrame:
+    """The components (node, component) with the links ``new`` (a, b) added; only the components that these touch are worked on."""
+    place = groups.select(F.col("node").alias("a"), F.col("component").alias("u"))
+    other = groups.select(F.col("node").alias("b"), F.col("component").alias("v"))
+    edges = new.join(place, "a", "left").join(other, "b", "left").select(F.coalesce("u", "a").alias("u"), F.coalesce("v", "b").alias("v"))
+    moved = components(edges)
+    first = groups.join(moved.toDF("component", "target"), "component", "left").select("node", F.coalesce("target", "component").alias("component"))
+    after = saved(first.union(moved.join(groups.select("node"), "node", "left_anti")), "components")
+    dropped(groups)
+    return after
+
+
 def _apart(members: DataFrame, groups: DataFrame) -> DataFrame:
     """The members (key, hub, class and more) of the buckets that lie in several components, with ``component`` and ``hub_component``.
 
