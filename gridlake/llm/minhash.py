@@ -150,8 +150,8 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings(), id_col: str = "do
     classes = saved(classes.withColumn("class", F.monotonically_increasing_id()), "classes")
     info = classes.select("class", "n", "sketch")
     keyed = classes.select("class", "id", F.explode("bands").alias("key"))
-    hubs = keyed.groupBy("key").agg(F.min(F.struct("id", "class")).alias("first"), F.count("*").alias("size")).where("size > 1")
-    members = saved(keyed.join(hubs, "key").select("key", F.col("first.class").alias("hub"), "class"), "members")
+    hubs = keyed.groupBy("key").agg(F.min_by("class", "id").alias("hub"), F.count("*").alias("size")).where("size > 1")
+    members = saved(keyed.join(hubs, "key").select("key", "hub", "class"), "members")
 
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     linked, groups = _links(members, info, classes, texts, s)
@@ -327,14 +327,12 @@ def _plausible(pairs: DataFrame, info: DataFrame, s: Settings) -> DataFrame:
 
 def _confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, s: Settings, sets: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Candidate pairs (a written table) with ``linked``, decided on the full shingle sets of one document of each class; and those sets."""
-    used = saved(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct(), "used")
-    missing = used if sets is None else used.join(sets, "class", "left_anti")
-    missing = saved(classes.select("class", "id", "high", "low").join(missing, "class"), "wanted")
+    used = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()  # a hub stands in many pairs
+    missing = classes.select("class", "id", "high", "low").join(used, "class", "left_semi")
+    missing = saved(missing if sets is None else missing.join(sets, "class", "left_anti"), "wanted")
     if sets is None or not missing.isEmpty():
-        ids = saved(missing.select("id").distinct(), "ids")
-        read = shingle_table(texts.join(ids, "id"), s).join(missing.select("class", "high", "low"), ["high", "low"])
+        read = shingle_table(texts.join(missing, "id", "left_semi"), s).join(missing.select("class", "high", "low"), ["high", "low"])
         read = saved(read.groupBy("class").agg(F.first("shingles").alias("shingles")), "sets")
-        dropped(ids)
         known = read if sets is None else sets.union(read)
     else:
         known = sets
@@ -343,7 +341,6 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, s: Settin
     else:
         sets = known
     dropped(missing)
-    dropped(used)
     left = sets.select(F.col("class").alias("a"), F.col("shingles").alias("set_a"))
     right = sets.select(F.col("class").alias("b"), F.col("shingles").alias("set_b"))
     both = F.size(F.array_intersect("set_a", "set_b"))
