@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlake.llm import decontaminate, licenses, lines, minhash, packing, quality, rules, secrets, substrings, tokens
+from gridlake.llm import centroids, copies, decontaminate, licenses, lines, minhash, packing, quality, resampling, rules, secrets, substrings, tokens
 from gridlake.llm.oracles import ORACLES
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -85,6 +85,18 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clusters(table(spark, sf_dir, "embeddings"), centroids.Settings(clusters=16, rounds=3))
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return copies.exact_copies(table(spark, sf_dir, "documents"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), resampling.Settings(buckets=10_000, percent=25, least_words=20))
+
+
 QUERIES = (
     op1_minhash,
     op2_token_counts,
@@ -96,6 +108,9 @@ QUERIES = (
     op8_quality_rules,
     op9_quality_classifier,
     op10_license_scan,
+    op11_centroid_clustering,
+    op12_exact_dedup,
+    op13_importance_resampling,
 )
 
 

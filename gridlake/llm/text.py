@@ -113,6 +113,12 @@ def _spans(inside: np.ndarray, chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(begins), np.flatnonzero(ends) + 1
 
 
+def byte_runs(chunk: Chunk, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The chunk's bytes with A-Z in lower case, and starts and ends of the runs of bytes that ``inside`` (256 flags) has."""
+    data = _LOWER[chunk.data]
+    return data, *_spans(inside[data], chunk)
+
+
 def words(chunk: Chunk, lower: bool = False) -> Words:
     """Runs of bytes other than space and the five control characters 9 to 13; ``lower`` maps A-Z to a-z first."""
     data = _LOWER[chunk.data] if lower else chunk.data
