@@ -25,10 +25,18 @@ def with_pressure(df: DataFrame) -> DataFrame:
     )
 
 
-def with_indicators(filled: DataFrame) -> DataFrame:
-    """Add productivity, pressure, their sources and data_coverage. The daily means are windows over the dealing of ``gap_fill``."""
-    day = Window.partitionBy("event_date", "aoi_id")
-    score = productivity({m: F.avg(m).over(day) for m in PRODUCTIVE})
+def with_indicators(filled: DataFrame, tiled: bool = False) -> DataFrame:
+    """Add productivity, pressure, their sources and data_coverage.
+
+    The daily means are windows over the dealing of ``gap_fill`` by area and day; of ``tiled`` rows they are a
+    grouping with partial sums, joined back (one row an area and day).
+    """
+    if tiled:
+        filled = filled.join(daily_means(filled), ["event_date", "aoi_id"])
+        score = productivity({m: F.col(f"avg_{m}") for m in PRODUCTIVE})
+    else:
+        day = Window.partitionBy("event_date", "aoi_id")
+        score = productivity({m: F.avg(m).over(day) for m in PRODUCTIVE})
     scored = filled.withColumn("ocean_productivity_score", score).withColumn(
         "ocean_productivity_score_source", derived_source(F.col("ocean_productivity_score"), *[f"{m}_source" for m in PRODUCTIVE])
     )

@@ -61,11 +61,25 @@ class Layers:
     start: date = START
     end: date = END
     window: int = FILL_WINDOW_DAYS
+    #: Cells along a tile's side for the neighbours' means; areas of fewer cells than a tile are dealt whole.
+    tile: int = fill.TILE
+    #: Cells of a metric-day that a task may sort; larger ones are ranked in ranges.
+    task_cells: int = score.TASK_CELLS
 
     @property
     def area(self):
         return AREAS[self.area_id]
 
+    @property
+    def cells_a_day(self) -> int:
+        """Known from the area's edges, since every day has all its cells."""
+        r0, r1, c0, c1 = spine.extent(self.area)
+        return (r1 - r0 + 1) * (c1 - c0 + 1)
+
+    @property
+    def tiled(self) -> bool:
+        return self.cells_a_day > self.tile**2
+
     def observations(self) -> DataFrame:
         return self.spark.sql(placed(OBSERVATIONS, self.area_id), events=table(self.spark, self.sf_dir, "events"))
 
@@ -103,13 +117,13 @@ class Layers:
         return fill.observed_backbone(self.backbone(), self.grid())
 
     def filled(self) -> DataFrame:
-        return fill.gap_fill(fill.zero_fill(self.joined(), self.effort_grid()), self.window)
+        return fill.gap_fill(fill.zero_fill(self.joined(), self.effort_grid()), self.window, tile=self.tile if self.tiled else None)
 
     def features(self) -> DataFrame:
-        return fill.between(features.feature_columns(features.with_indicators(self.filled())), self.start, self.end)
+        return fill.between(features.feature_columns(features.with_indicators(self.filled(), self.tiled)), self.start, self.end)
 
     def cells(self) -> DataFrame:
-        return score.map_metric(self.features())
+        return (score.map_metric_in_ranges if self.cells_a_day > self.task_cells else score.map_metric)(self.features())
 
     def dashboard(self) -> DataFrame:
         return dashboard.dashboard_daily(self.cells(), exact_p90=True)

@@ -16,16 +16,14 @@ from gridlake.functions import grid as G
 from gridlake.functions import indicators as I
 from gridlake.model import AREAS, ENVIRONMENT, KEYS, PRODUCTS, PUBLISHED, SCORE_COLUMNS
 from gridlake.operators import checks, clean, daily, dashboard, features, fill, score, spine
-from gridlake.plans import serving
+from gridlake.plans import scaled, serving  # noqa: F401  (scaled registers its own queries)
 from gridlake.plans.layers import END, START, Layers, together
 from gridlake.plans.layers_sql import NUDGE, over, rounded
 from gridlake.plans.publish import published
+from gridlake.plans.registry import ORACLES, QUERIES, Query, register
 from gridlake.sources import files, sinks
 from gridlake.sources.workspace import new_folder
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
 DAY = date(2024, 1, 20)
 PROBE = AREAS["probe"]
 TEMPERATURE = "sea_temperature_celsius"
@@ -33,28 +31,6 @@ TEMPERATURE = "sea_temperature_celsius"
 _SQL_KEYS = "event_date aoi_id grid_id grid_row grid_col"
 
 
-def comparable(df: DataFrame, digits: int = 6) -> DataFrame:
-    near = lambda c: F.round(c.cast("double") + F.lit(NUDGE), digits)
-    kinds = {"double": near, "float": near, "smallint": lambda c: c.cast("int")}
-    return df.select(*[kinds[kind](F.col(name)).alias(name) if kind in kinds else F.col(name) for name, kind in df.dtypes])
-
-
-def register(sql: str | None = None) -> Callable[[Callable[[Layers], DataFrame]], Query]:
-    """Register a function of the layers under its own name; ``sql`` None leaves only the rows to check."""
-
-    def add(plan: Callable[[Layers], DataFrame]) -> Query:
-        def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return comparable(plan(Layers(spark, sf_dir)))
-
-        query.__name__, query.__doc__ = plan.__name__, plan.__doc__
-        QUERIES[plan.__name__] = query
-        if sql is not None:
-            ORACLES[plan.__name__] = sql
-        return query
-
-    return add
-
-
 # ---- projections and filters -------------------------------------------------------------------------------------
 
 _CLEAN = "event_date product aoi_id"
