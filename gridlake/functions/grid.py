@@ -50,3 +50,16 @@ def cell_bounds(row: Column, col: Column, km: Column | int) -> dict[str, Column]
         "west": col / CELLS_PER_DEGREE - F.lit(180.0),
         "east": (col + size) / CELLS_PER_DEGREE - F.lit(180.0),
     }
+
+
+def _spread(index: Column) -> Column:
+    """The bits of a 16-bit number at every second place of a 32-bit one."""
+    x = index.cast("long").bitwiseAND(0xFFFF)
+    for step, mask in ((8, 0x00FF00FF), (4, 0x0F0F0F0F), (2, 0x33333333), (1, 0x55555555)):
+        x = x.bitwiseOR(F.shiftleft(x, step)).bitwiseAND(mask)
+    return x
+
+
+def morton(row: Column, col: Column) -> Column:
+    """The place of a cell on the Morton curve, which visits the cells of small squares one after another."""
+    return F.shiftleft(_spread(row), 1).bitwiseOR(_spread(col))

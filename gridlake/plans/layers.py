@@ -70,6 +70,10 @@ class Layers:
     def area(self):
         return AREAS[self.area_id]
 
+    @property
+    def sources(self) -> list[str]:
+        return [f"{self.sf_dir.rstrip('/')}/{name}.parquet" for name in ("events", "lineitem")]
+
     @property
     def cells_a_day(self) -> int:
         """Known from the area's edges, since every day has all its cells."""

@@ -22,6 +22,7 @@ from gridlake.plans.layers_sql import NUDGE, over, rounded
 from gridlake.plans.publish import published
 from gridlake.plans.registry import ORACLES, QUERIES, Query, register
 from gridlake.sources import files, sinks
+from gridlake.sources.releases import ReleasedTable
 from gridlake.sources.workspace import new_folder
 
 DAY = date(2024, 1, 20)
@@ -666,23 +667,33 @@ def upsert_partitions(x: Layers) -> DataFrame:
     return x.spark.table(name).select("event_date", "grid_id", "chlor_a")
 
 
+def _released(x: Layers, name: str, **options: int) -> ReleasedTable:
+    out = ReleasedTable(x.spark, new_folder(x.spark, name), ["event_date"])
+    out.publish(x.grid(), **options)
+    return out
+
+
 @register(over(_REPLACED.format(last="2024-01-14")))
 def replace_range(x: Layers) -> DataFrame:
     """Days 13 and 14 lie in the range but have no new row: they vanish."""
-    return sinks.replace_range(x.grid(), _changed(x.grid()), date(2024, 1, 10), date(2024, 1, 14)).select("event_date", "grid_id", "chlor_a")
+    held = _released(x, "ranges")
+    held.replace_range(_changed(held.read(F.col("event_date").between("2024-01-10", "2024-01-12"))), date(2024, 1, 10), date(2024, 1, 14))
+    return held.read().select("event_date", "grid_id", "chlor_a")
 
 
 @register(over(_REPLACED.format(last="2024-01-12")))
 def merge_partitions(x: Layers) -> DataFrame:
-    return sinks.merge_partitions(x.grid(), _changed(x.grid()), ["event_date", "aoi_id"]).select("event_date", "grid_id", "chlor_a")
+    held = _released(x, "merged")
+    held.merge(_changed(held.read()))
+    return held.read().select("event_date", "grid_id", "chlor_a")
 
 
 @register(rounded("FROM grid", _COLUMNS, _SQL_KEYS))
 def compact_partitions(x: Layers) -> DataFrame:
-    source, out = new_folder(x.spark, "small"), new_folder(x.spark, "compact")
-    x.grid().repartition(16).write.parquet(source)
-    sinks.compact(x.spark, source, out)
-    return x.spark.read.parquet(out)
+    """Files of 20 rows each, rewritten as one for each day."""
+    held = _released(x, "compact", maxRecordsPerFile=20)
+    held.compact()
+    return held.read().select(*KEYS, *_COLUMNS.split())
 
 
 def queries(names: Sequence[str] = ()) -> dict[str, Query]:

@@ -39,6 +39,13 @@ def listing(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
     return files.select("path", F.element_at(F.split("path", "/"), -1).alias("name"), F.col("length").alias("bytes"), F.col("modificationTime").alias("modified"))
 
 
+def fingerprint(spark: SparkSession, roots: Sequence[str]) -> tuple:
+    """What changes when files below these folders come, go or are written anew: their number, bytes, newest time and a sum of hashes."""
+    own = [F.xxhash64("path", "bytes", "modified").cast("decimal(38,0)"), F.col("bytes")]
+    found = [listing(spark, root).agg(F.count("*"), F.sum(own[1]), F.max("modified"), F.sum(own[0])).first() for root in roots]
+    return tuple(tuple(row) for row in found)
+
+
 def file_manifest(spark: SparkSession, root: str, run_id: str, pattern: str = "*.parquet") -> DataFrame:
     """(run_id, product, event_date, file, bytes, sha256) of files below product folders, dated by their names or their first record's folder."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root)

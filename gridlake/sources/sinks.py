@@ -1,15 +1,14 @@
-"""Writing tables: partitioned, sharded and replaced in part, on plain Parquet.
+"""Writing tables: partitioned, sharded and with partitions replaced, on plain Parquet.
 
-A replaced range or merge reads the old version and writes a new folder (or table) next to it, since a plan must not
-overwrite what it reads. Replacing several partitions at once is not atomic on plain Parquet.
+Here each partition is replaced on its own, so readers may see some replaced and some not. Replaced ranges, merges and
+compaction that take effect at once are in ``releases``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridlake.functions.indicators import shard
@@ -53,26 +52,5 @@ def upsert_partitions(df: DataFrame, table: str, partitions: Sequence[str]) -> N
         writer.format("parquet").saveAsTable(table)
 
 
-def replace_range(current: DataFrame, new: DataFrame, start: date, end: date) -> DataFrame:
-    """The current rows outside a range of dates and all new ones: what the range held before is gone, replaced or not."""
-    outside = ~F.col("event_date").between(F.lit(start), F.lit(end))
-    return current.where(outside).unionByName(new)
-
-
-def merge_partitions(current: DataFrame, batch: DataFrame, keys: Sequence[str] = SERVING_PARTITIONS) -> DataFrame:
-    """A batch's partitions replace the current ones as a whole; others stay."""
-    return current.join(batch.select(*keys).distinct(), list(keys), "left_anti").select(*current.columns).unionByName(batch.select(*current.columns))
-
-
 def write_report(report: DataFrame, path: str) -> None:
     report.select("value").coalesce(1).write.mode("overwrite").text(path)
-
-
-def compact(spark: SparkSession, path: str, out: str, target_bytes: int = 256 << 20) -> None:
-    """Rewrite a folder's files at about the target size, content unchanged; sizes come from the listing, not from reading.
-
-    Neighbouring splits are read one after another by one task, without a shuffle, so rows sorted inside files stay so.
-    """
-    table = spark.read.parquet(path)
-    total = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).agg(F.sum("length")).first()[0] or 0
-    table.coalesce(max(1, -(-total // target_bytes))).write.mode("overwrite").option("compression", "zstd").parquet(out)

@@ -174,11 +174,9 @@ def test_verdict(spark):
     assert "output_rows" in checks.report_json(judge(good), dataset="x").first().value
 
 
-def test_replaced_ranges_and_partitions(spark, tmp_path):
+def test_snapshot_replaces_partitions(spark, tmp_path):
     now = spark.createDataFrame([(D1, "a", 4, 1), (D1, "b", 4, 2), (D2, "a", 4, 3)], "event_date date, aoi_id string, resolution_km int, v int")
     new = spark.createDataFrame([(D1, "a", 4, 9)], now.schema)
-    assert sorted(r.v for r in sinks.replace_range(now, new, D1, D1).collect()) == [3, 9]
-    assert sorted(r.v for r in sinks.merge_partitions(now, new).collect()) == [2, 3, 9]
     sinks.write_snapshot(now, f"{tmp_path}/s")
     sinks.write_snapshot(new, f"{tmp_path}/s")
     assert sorted(r.v for r in spark.read.parquet(f"{tmp_path}/s").collect()) == [2, 3, 9]
@@ -260,14 +258,6 @@ def test_sinks_lay_files_out(spark, tmp_path):
     assert sorted(p.relative_to(tmp_path / "snap").parent.as_posix() for p in (tmp_path / "snap").rglob("*.zstd.parquet")) == [f"event_date=2024-01-0{d}/aoi_id=probe/resolution_km=4" for d in (1, 2, 3)]
     sinks.write_snapshot(df.where("event_date = date '2024-01-02'").withColumn("metric_value", F.lit(0.0)), f"{tmp_path}/snap")
     assert spark.read.parquet(f"{tmp_path}/snap").groupBy("event_date").agg(F.sum("metric_value").alias("s")).where("s = 0").count() == 1
-    df.repartition(12, "grid_id").sortWithinPartitions("grid_id").write.parquet(f"{tmp_path}/small")
-    sinks.compact(spark, f"{tmp_path}/small", f"{tmp_path}/large")
-    large = list((tmp_path / "large").glob("*.parquet"))
-    assert len(large) == 1 < len(list((tmp_path / "small").glob("*.parquet")))
-    kept = spark.read.parquet(f"{tmp_path}/large")
-    assert kept.exceptAll(df).isEmpty() and kept.count() == 300
-    names = [r.grid_id for r in kept.collect()]
-    assert sum(a > b for a, b in zip(names, names[1:], strict=False)) < 12  # runs stay sorted
 
 
 def test_upsert_leaves_the_session_alone(spark):
