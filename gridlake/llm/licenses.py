@@ -291,7 +291,7 @@ def signatures() -> tuple[Signature, ...]:
         elif label not in ("copyright", "licensed", "proprietary", "public-domain"):
             add(f"{label}-link", "opensource org", f"opensource org licen[sc]es? {label.replace('-', ' ')}", 2, 0.9)
     add("apache-2", "apache org", "apache org licen[sc]es licen[sc]e 2 0", 3, 0.95)
-    add("spdx", "spdx license identifier", "spdx license identifier (?:[a-z0-9]+ ?){1,6}?", 2, 1.0)
+    add("spdx", "spdx license identifier", "spdx license identifier [a-z0-9]+", 2, 1.0)
     return tuple(out)
 
 
@@ -371,8 +371,9 @@ def scan(docs: DataFrame, rules: tuple[Signature, ...] | None = None, id_col: st
     largest of the detections' and 0.7 for a base place, 0 without any. Base places are never suppressed.
 
     Null, empty and wordless texts have 0 words and no detection; a null id stays null; repeated rows are scanned
-    each; long texts are scanned whole, in time proportional to their length; other columns are left out; an empty
-    table gives an empty table.
+    each; long texts are scanned whole; other columns are left out; an empty table gives an empty table. Time grows
+    with the length of a text, as tests on each rule's worst text show, but for one case: where more than 1,024
+    detections stand within the range of one, each is compared with all before it.
     """
     rules = signatures() if rules is None else rules
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"

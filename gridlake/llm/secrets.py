@@ -51,7 +51,8 @@ MORE = (
     Rule("slack", r"\bxox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("google", r"\bAIza[A-Za-z0-9_-]{35}"),
     Rule("stripe", r"\b(?:sk|rk)_live_[A-Za-z0-9]{16,}"),
-    Rule("jwt", r"\beyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    # From the start of its run of characters only: with a word boundary each "-eyJ" inside would scan the run's rest again.
+    Rule("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
     Rule("url_login", r"\b[a-z][a-z0-9+.-]{1,15}://[^\s/:@]{1,64}:[^\s/:@]{3,64}@"),
 )
 RULES = BASE + MORE
@@ -173,8 +174,8 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id
     """Each row's id and ``findings``, an array of (kind, start, end) in code points, end exclusive, by start and then rule.
 
     Null and empty texts have no finding; a null id stays null; repeated rows are scanned each; a long text is
-    scanned whole; other columns are left out; an empty table gives an empty table. Findings of different kinds may
-    overlap, those of one kind don't.
+    scanned whole, in time that grows with its length (tests scan 1 MB of each rule's worst text); other columns are
+    left out; an empty table gives an empty table. Findings of different kinds may overlap, those of one kind don't.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
