@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import replace
+from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,8 +11,11 @@ from pyspark.sql import functions as F
 from gridlake.model import ENVIRONMENT
 from gridlake.operators import fill, score
 from gridlake.plans.layers import Layers
-from gridlake.plans.layers_sql import over, rounded
+from gridlake.plans.layers_sql import NUDGE, over, rounded
 from gridlake.plans.registry import register
+from gridlake.sources import rasters
+from gridlake.sources.workspace import new_folder
+from gridlake.streaming import ingest
 
 _NEAR = {f"{m}_cell_mean": f"{m}_near" for m in ENVIRONMENT}
 
@@ -41,3 +45,36 @@ def map_metric_wide(x: Layers) -> DataFrame:
     cells = replace(x, area_id="wide", tile=64, task_cells=0).cells()
     sums = [F.count("*").alias("cells"), F.round(F.sum("relative_score"), 4).alias("total"), F.max("metric_value").alias("most"), F.min("metric_value").alias("least")]
     return cells.groupBy("event_date", "metric_id", "resolution_km", "display_level").agg(*sums)
+
+
+# ---- rasters by band, files as a stream --------------------------------------------------------------------------
+
+_BOX = "lat BETWEEN 24.7 AND 24.9 AND lon BETWEEN 120.1 AND 130 AND date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'"
+
+
+@register(
+    f"""WITH c AS (SELECT DATE '2024-01-01' + CAST(vec_id % 30 AS INT) AS date, vec_id, embedding, unnest(range(8)) AS i FROM embeddings),
+d AS (SELECT *, unnest(range(8)) AS j FROM c)
+SELECT date, round(lat + {NUDGE}, 6) AS lat, round(lon + {NUDGE}, 6) AS lon, round(value + {NUDGE}, 6) AS value
+FROM (SELECT CAST(date AS DATE) AS date, 25::DOUBLE - (i + 0.5::DOUBLE) / 24 AS lat, 120::DOUBLE + (j + 0.5::DOUBLE) / 24 AS lon, embedding[8 * i + j + 1]::DOUBLE AS value FROM d
+WHERE (8 * i + j + vec_id) % 11 <> 0 AND (8 * i + j + vec_id) % 13 <> 0) WHERE {_BOX}"""
+)
+def raster_files(x: Layers) -> DataFrame:
+    """Rasters written as files and read back in bands of a twelfth of a degree; days, bands and columns outside the box aren't read."""
+    out = new_folder(x.spark, "rasters")
+    rasters.write_rasters(x.rasters().withColumn("name", F.concat(F.lit("r"), F.expr("uuid()"))), out, "value")
+    box = {"lat": (24.7, 24.9), "lon": (120.1, 130.0), "days": (date(2024, 1, 5), date(2024, 1, 20))}
+    return rasters.read_rasters(x.spark, out, "value", band_degrees=1 / 12, **box).select("date", "lat", "lon", "value")
+
+
+@register(over("SELECT CAST(2023 + mmsi_present % 2 AS INT) AS year, count(*) AS n, round(sum(hours), 4) AS hours, (SELECT count(*) FROM effort WHERE mmsi_present % 2 = 0) AS first_run, (SELECT count(*) FROM effort WHERE mmsi_present % 2 = 1) AS second_run, 0::BIGINT AS third_run FROM effort GROUP BY 1"))
+def ingest_stream(x: Layers) -> DataFrame:
+    """Files arrive in two lots; each run reads what is new, the third nothing."""
+    source, target, checkpoint = (new_folder(x.spark, n) for n in ("arriving", "ingested", "progress"))
+    runs = []
+    for year in (2023, 2024):
+        x.effort().where(F.col("mmsi_present") % 2 == year - 2023).write.csv(f"{source}/{year}", header=True)
+        runs.append(ingest.ingest_available(x.spark, source, target, checkpoint).rows)
+    runs.append(ingest.ingest_available(x.spark, source, target, checkpoint).rows)
+    found = x.spark.read.parquet(target).groupBy("year").agg(F.count("*").alias("n"), F.round(F.sum("hours"), 4).alias("hours"))
+    return found.withColumns({f"{name}_run": F.lit(n).cast("long") for name, n in zip(("first", "second", "third"), runs, strict=True)})
