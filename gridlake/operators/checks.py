@@ -7,9 +7,10 @@ from dataclasses import dataclass
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
+from gridlake.functions.indicators import shard
 from gridlake.model import LEVELS, MAP_KEYS, PUBLISHED, RESOLUTIONS_KM, STATUS_CLASSES
 from gridlake.operators.spine import date_spine
 
@@ -53,6 +54,48 @@ def verdict(profiled: DataFrame, groups: Sequence[Sequence[str]], start: date, e
     return profiled.withColumns(checks).withColumn("passed", passed)
 
 
+def observed_profile(df: DataFrame, keys: Sequence[str], metrics: Sequence[str], shards: int = 32) -> tuple[DataFrame, Observation]:
+    """The rows, dealt by day and shard of cells and sorted by key, and what ``profile`` asks of them, gathered while they are written.
+
+    Repeated keys stand next to each other in the order that the write wants anyway, so they are counted without a shuffle.
+    """
+    seen = Observation()
+    dealt = df.withColumn("_shard", shard(F.col("grid_id"), shards)).repartition("event_date", "_shard")
+    key = Window.partitionBy("event_date", "_shard", *[k for k in keys if k != "event_date"]).orderBy("grid_id")
+    marked = dealt.withColumn("_again", F.row_number().over(key) > 1)
+    metric = [x for m in metrics for x in (F.count_if(_invalid(m)).alias(f"{m}_invalid"), F.min(m).alias(f"{m}_min"), F.max(m).alias(f"{m}_max"))]
+    watched = marked.observe(
+        seen,
+        F.count(F.lit(1)).alias("output_rows"),
+        F.count_if("_again").alias("_again"),
+        F.count_if(_any([F.col(k).isNull() for k in keys])).alias("null_key_rows"),
+        F.min("event_date").alias("min_event_date"),
+        F.max("event_date").alias("max_event_date"),
+        F.size(F.collect_set("event_date")).cast("long").alias("observed_day_count"),  # a date for each day of the run
+        *metric,
+    )
+    return watched.select(*df.columns), seen
+
+
+def observed_row(spark: SparkSession, seen: Observation, like: DataFrame) -> DataFrame:
+    """The profile that a finished write has gathered, in the columns of ``profile``; no row is read. ``like``: a profile, for the types."""
+    got = dict(seen.get)
+    got["distinct_key_rows"] = got["output_rows"] - got.pop("_again")
+    return spark.createDataFrame([tuple(got[c] for c in like.columns)], like.schema)
+
+
+def write_judged(df: DataFrame, path: str, keys: Sequence[str], metrics: Sequence[str], groups: Sequence[Sequence[str]], start: date, end: date) -> DataFrame:
+    """Write a daily table by day and give its ``verdict``, both in one pass over the rows.
+
+    Rows, repeated and null keys, days and the metrics' invalid rows, least and greatest values come from the write
+    itself. Write the report and call ``gate`` on what comes back. An empty table writes nothing and fails.
+    """
+    watched, seen = observed_profile(df, keys, metrics)
+    writer = watched.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
+    writer.partitionBy("event_date").parquet(path)
+    return verdict(observed_row(df.sparkSession, seen, profile(df, keys, metrics)), groups, start, end)
+
+
 def report_json(judged: DataFrame, **tags: str) -> DataFrame:
     """The verdict as one JSON document a row, in a column ``value``."""
     return judged.select(F.to_json(F.struct(*[F.lit(v).alias(k) for k, v in tags.items()], "*")).alias("value"))

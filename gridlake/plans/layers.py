@@ -61,6 +61,8 @@ class Layers:
     start: date = START
     end: date = END
     window: int = FILL_WINDOW_DAYS
+    #: First day whose source rows are used: the start, or up to window - 1 days before it where the fill is to look back.
+    since: date | None = None
     #: Cells along a tile's side for the neighbours' means; areas of fewer cells than a tile are dealt whole.
     tile: int = fill.TILE
     #: Cells of a metric-day that a task may sort; larger ones are ranked in ranges.
@@ -103,10 +105,10 @@ class Layers:
         )
 
     def clean(self) -> DataFrame:
-        return daily.clean_observations(self.observations(), [self.area], self.start, self.end)
+        return daily.clean_observations(self.observations(), [self.area], self.since or self.start, self.end)
 
     def clean_effort(self) -> DataFrame:
-        return daily.clean_effort(self.effort(), [self.area], self.start, self.end)
+        return daily.clean_effort(self.effort(), [self.area], self.since or self.start, self.end)
 
     def grid(self) -> DataFrame:
         return daily.daily_grid(self.clean())

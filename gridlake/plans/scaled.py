@@ -8,9 +8,10 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridlake.model import ENVIRONMENT
-from gridlake.operators import fill, score
-from gridlake.plans.layers import Layers
+from gridlake.model import ENVIRONMENT, KEYS, PRODUCTS
+from gridlake.operators import checks, fill, reconcile, score, sketches
+from gridlake.plans import incremental
+from gridlake.plans.layers import END, START, Layers, table
 from gridlake.plans.layers_sql import NUDGE, over, rounded
 from gridlake.plans.registry import register
 from gridlake.sources import rasters
@@ -78,3 +79,80 @@ def ingest_stream(x: Layers) -> DataFrame:
     runs.append(ingest.ingest_available(x.spark, source, target, checkpoint).rows)
     found = x.spark.read.parquet(target).groupBy("year").agg(F.count("*").alias("n"), F.round(F.sum("hours"), 4).alias("hours"))
     return found.withColumns({f"{name}_run": F.lit(n).cast("long") for name, n in zip(("first", "second", "third"), runs, strict=True)})
+
+
+# ---- checks: cells that differ, verdicts of the write itself, sketches --------------------------------------------
+
+_VALUES = [p.column for p in PRODUCTS]
+_LOST, _DOUBLED, _CHANGED = ((f"(grid_row * 31 + grid_col + day(event_date)) % 97 = {k}") for k in (0, 1, 2))
+_CHANGED = f"{_CHANGED} AND chlor_a IS NOT NULL"
+
+
+@register(over(" UNION ALL ".join(f"SELECT event_date, aoi_id, grid_row, grid_col, '{n}' AS fault FROM grid WHERE {c}" for n, c in (("lost", _LOST), ("doubled", _DOUBLED), ("changed", _CHANGED)))))
+def reconcile_cells(x: Layers) -> DataFrame:
+    """A copy of the grid with rows lost, doubled and changed: each is named by day, cell and fault."""
+    grid = x.grid()
+    copy = grid.where(f"not ({_LOST})").withColumn("chlor_a", F.expr(f"if({_CHANGED}, chlor_a + 0.000001D, chlor_a)"))
+    return reconcile.differences(grid, copy.union(copy.where(_DOUBLED)), _VALUES)
+
+
+@register(over("SELECT event_date, count(*) AS cells, 0::BIGINT AS differing FROM grid GROUP BY event_date"))
+def recomputed_cells(x: Layers) -> DataFrame:
+    """Every cell of the grid recomputed from its source rows by another way (sampling parameter 1: all cells)."""
+    grid = x.grid()
+    faults = reconcile.recomputed_differences(x.clean(), grid, one_in=1).groupBy("event_date").agg(F.count("*").alias("n"))
+    found = grid.groupBy("event_date").agg(F.count("*").alias("cells")).join(faults, "event_date", "left")
+    return found.select("event_date", "cells", F.coalesce("n", F.lit(0)).cast("long").alias("differing"))
+
+
+_JUDGED = "SELECT count(*) AS output_rows, count(DISTINCT (event_date, aoi_id, grid_id, grid_row, grid_col)) AS distinct_key_rows, count(DISTINCT event_date) AS days, round(min(chlor_a), 6) AS chlor_a_min, count(*) FILTER (sst4 IS NULL) AS sst4_invalid FROM grid WHERE NOT (event_date = DATE '2024-01-07')"
+
+
+@register(over(f"SELECT output_rows, output_rows - distinct_key_rows AS duplicate_key_rows, 30 - days AS missing_day_count, chlor_a_min, sst4_invalid, false AS passed, output_rows AS written FROM ({_JUDGED})"))
+def gated_write(x: Layers) -> DataFrame:
+    """A day is missing, which the write itself finds; the table is there all the same, and the gate may refuse to go on."""
+    out = new_folder(x.spark, "judged")
+    grid = x.grid().where("event_date <> date'2024-01-07'")
+    judged = checks.write_judged(grid, out, KEYS, _VALUES, (("chlor_a",), ("poc",), ("nflh",), ("sst", "nsst", "sst4")), START, END)
+    written = F.lit(x.spark.read.parquet(out).count()).cast("long")
+    return judged.select("output_rows", "duplicate_key_rows", "missing_day_count", "chlor_a_min", "sst4_invalid", "passed", written.alias("written"))
+
+
+@register(over("SELECT resolution_km, count(*) FILTER (metric_id = 'sustainability_pressure') AS n_values, true AS p90_near, true AS cells_near FROM cells GROUP BY resolution_km"))
+def sketched_month(x: Layers) -> DataFrame:
+    """A month's 90th percentile and cells from 30 stored daily sketches, held against exact ranks and counts."""
+    out = new_folder(x.spark, "sketches")
+    cells = x.cells()
+    sketches.daily_sketches(cells).write.partitionBy("event_date").parquet(out)
+    month = sketches.merged(x.spark.read.parquet(out), ["resolution_km"])
+    month = month.select("resolution_km", sketches.quantile(0.9).alias("p90"), sketches.distinct().alias("estimate"), F.expr("kll_sketch_get_n_double(value_sketch)").alias("n_values"))
+    value = F.when(F.col("metric_id") == "sustainability_pressure", F.col("metric_value"))
+    exact = cells.join(month.select("resolution_km", "p90"), "resolution_km").groupBy("resolution_km").agg(
+        F.countDistinct("grid_id").alias("cells"), (F.count_if(value <= F.col("p90")) / F.count(value)).alias("top"), (F.count_if(value < F.col("p90")) / F.count(value)).alias("below")
+    )
+    error = sketches.rank_error()
+    near = (F.col("top") >= 0.9 - error) & (F.col("below") <= 0.9 + error)
+    counted = F.abs(F.col("estimate") - F.col("cells")) <= sketches.distinct_error() * F.col("cells")
+    return month.join(exact, "resolution_km").select("resolution_km", "n_values", near.alias("p90_near"), counted.alias("cells_near"))
+
+
+# ---- late data ---------------------------------------------------------------------------------------------------
+
+_LATE = "CAST(ts AS DATE) <> DATE '2024-01-12'"
+
+
+@register(rounded("FROM cells", "metric_value relative_score", "event_date metric_id resolution_km grid_id"))
+def late_rows(x: Layers) -> DataFrame:
+    """The events of one day arrive after the first run; the second run makes three days again, and the map is that of a full run."""
+    source, root = new_folder(x.spark, "late"), new_folder(x.spark, "refreshed")
+    events = table(x.spark, x.sf_dir, "events")
+    events.where(_LATE).write.parquet(f"{source}/events.parquet")
+    table(x.spark, x.sf_dir, "lineitem").write.parquet(f"{source}/lineitem.parquet")
+    own = replace(x, sf_dir=source)
+    incremental.refresh(own, root)
+    events.where(f"not ({_LATE})").write.mode("append").parquet(f"{source}/events.parquet")
+    done = incremental.refresh(own, root)
+    if len(done.remade) != x.window:
+        raise AssertionError(f"made again: {done}")
+    held = incremental.ReleasedTable(x.spark, f"{root}/map_metric", incremental.SERVING_PARTITIONS)
+    return held.read().select("event_date", "metric_id", "resolution_km", "grid_id", "metric_value", "relative_score")
