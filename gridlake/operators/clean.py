@@ -51,6 +51,37 @@ def clip_areas(df: DataFrame, areas: Iterable[Area]) -> DataFrame:
     return near.withColumn("aoi_id", F.explode(F.transform(inside, lambda a: a["id"])))
 
 
+#: Degrees of the smallest tile that areas are put on.
+_SMALLEST_TILE = 1 / 64
+
+
+def _level(size: Column) -> Column:
+    """The least power of two that is no smaller than a size in degrees."""
+    return F.ceil(F.log2(F.greatest(size, F.lit(_SMALLEST_TILE)))).cast("int")
+
+
+def clip_area_table(df: DataFrame, areas: DataFrame) -> DataFrame:
+    """``clip_areas`` for a table of any number of areas (id, min_lat, max_lat, min_lon, max_lon): an equi-join on tiles, then the exact test.
+
+    An area is put on square tiles at least as large as itself, so it touches four at most, whatever its size; the tiles'
+    sides are powers of two degrees. A point looks at its one tile of each size in use (a dozen or two). All four edges
+    belong to an area; overlapping areas each get the point; an area whose edges are null or out of order has none.
+    """
+    size = F.greatest(F.col("max_lat") - F.col("min_lat"), F.col("max_lon") - F.col("min_lon"))
+    sound = areas.select("id", "min_lat", "max_lat", "min_lon", "max_lon").where("min_lat <= max_lat and min_lon <= max_lon")
+    sound = sound.withColumn("_level", _level(size))
+    tile = lambda c, level: F.floor(F.col(c) / F.pow(F.lit(2.0), level))
+    on = F.col("_level")
+    cover = sound.withColumn("_y", F.explode(F.sequence(tile("min_lat", on), tile("max_lat", on)))).withColumn("_x", F.explode(F.sequence(tile("min_lon", on), tile("max_lon", on))))
+    levels = sorted(r[0] for r in sound.select("_level").distinct().collect())  # sizes of tiles in use
+    if not levels:
+        return df.withColumn("aoi_id", F.lit(None).cast(areas.schema["id"].dataType)).limit(0)
+    point = df.where("lat is not null and lon is not null").withColumn("_level", F.explode(F.array(*[F.lit(k) for k in levels])))
+    point = point.withColumns({"_y": tile("lat", on), "_x": tile("lon", on)})
+    inside = F.col("lat").between(F.col("min_lat"), F.col("max_lat")) & F.col("lon").between(F.col("min_lon"), F.col("max_lon"))
+    return point.join(cover, ["_level", "_y", "_x"]).where(inside).select(*df.columns, F.col("id").alias("aoi_id"))
+
+
 def valid_range(df: DataFrame) -> DataFrame:
     """Keep values inside their product's range, both ends included; NaN is outside every range."""
     tests = [(F.col("product") == p.id) & F.col("metric_value").between(p.low, p.high) for p in PRODUCTS]

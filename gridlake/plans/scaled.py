@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridlake.model import ENVIRONMENT, KEYS, PRODUCTS
-from gridlake.operators import checks, fill, reconcile, score, sketches
+from gridlake.operators import checks, clean, fill, reconcile, score, sketches
 from gridlake.plans import incremental
 from gridlake.plans.layers import END, START, Layers, table
 from gridlake.plans.layers_sql import NUDGE, over, rounded
@@ -156,3 +156,21 @@ def late_rows(x: Layers) -> DataFrame:
         raise AssertionError(f"made again: {done}")
     held = incremental.ReleasedTable(x.spark, f"{root}/map_metric", incremental.SERVING_PARTITIONS)
     return held.read().select("event_date", "metric_id", "resolution_km", "grid_id", "metric_value", "relative_score")
+
+
+# ---- many areas --------------------------------------------------------------------------------------------------
+
+# Areas of very different sizes around the observed cells, some without any point, some of one line.
+_AREAS = """SELECT concat('a', c_custkey) AS id, 23.5D + (c_custkey * 37 % 101) / 50D AS min_lat, 23.5D + (c_custkey * 37 % 101) / 50D + (c_custkey % 7) * (c_custkey % 5) / 24D AS max_lat,
+119.5D + (c_custkey * 53 % 97) / 48D AS min_lon, 119.5D + (c_custkey * 53 % 97) / 48D + (c_custkey % 11) * (c_custkey % 3) / 24D AS max_lon FROM {customer}"""
+_AREAS_SQL = _AREAS.format(customer="customer").replace("concat('a', c_custkey)", "'a' || c_custkey")
+for _d in ("23.5", "119.5", "50", "48", "24"):
+    _AREAS_SQL = _AREAS_SQL.replace(f"{_d}D", f"{_d}::DOUBLE")
+
+
+@register(over(f"SELECT a.id AS aoi_id, count(*) AS n, round(sum(metric_value), 4) AS total FROM conformed c JOIN ({_AREAS_SQL}) a ON c.lat BETWEEN a.min_lat AND a.max_lat AND c.lon BETWEEN a.min_lon AND a.max_lon GROUP BY a.id"))
+def clip_many_areas(x: Layers) -> DataFrame:
+    """An area for each customer: points meet areas by tiles."""
+    areas = x.spark.sql(_AREAS, customer=table(x.spark, x.sf_dir, "customer"))
+    rows = clean.clip_area_table(clean.conform(x.observations()), areas)
+    return rows.groupBy("aoi_id").agg(F.count("*").alias("n"), F.round(F.sum("metric_value"), 4).alias("total"))

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+import re
+from collections.abc import Iterator, Sequence
 from datetime import date
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,17 +50,59 @@ def fingerprint(spark: SparkSession, roots: Sequence[str]) -> tuple:
     return tuple(tuple(row) for row in found)
 
 
+_HASHED_BYTES = 8 << 20
+
+
+def arrow_path(path: str) -> tuple[fs.FileSystem, str]:
+    """Arrow's file system for a path as Spark prints it, and the path there. Percent signs in names stand for themselves."""
+    scheme, host, plain = re.fullmatch(r"(?s)(?:([a-zA-Z][\w+.-]*):)?(?://([^/]*))?(.*)", path).groups()
+    if scheme in (None, "file"):
+        return fs.LocalFileSystem(), plain
+    store, prefix = fs.FileSystem.from_uri(f"{scheme}://{host or ''}/")
+    return store, f"{prefix.rstrip('/')}{plain}"
+
+
+def with_digests(found: DataFrame) -> DataFrame:
+    """A listing with ``sha256`` of each file's content, read in tasks a few megabytes at a time: memory doesn't depend on a file's size."""
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for path in batch.column("path").to_pylist():
+                store, name = arrow_path(path)
+                own = hashlib.sha256()
+                with store.open_input_stream(name) as stream:
+                    while part := stream.read(_HASHED_BYTES):
+                        own.update(part)
+                out.append(own.hexdigest())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], [*batch.schema.names, "sha256"])
+
+    schema = ", ".join(f"`{n}` {kind}" for n, kind in found.dtypes)
+    return found.mapInArrow(digest, f"{schema}, sha256 string")
+
+
 def file_manifest(spark: SparkSession, root: str, run_id: str, pattern: str = "*.parquet") -> DataFrame:
-    """(run_id, product, event_date, file, bytes, sha256) of files below product folders, dated by their names or their first record's folder."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root)
-    named = F.element_at(F.split("path", "/"), -1)
-    return files.select(
+    """(run_id, product, event_date, file, bytes, sha256) of files below product folders, dated by their folder or name.
+
+    Files are hashed as streams. In a store that only Spark's readers can open they are hashed by Spark as one value,
+    which can't exceed 2 GB.
+    """
+    found = listing(spark, root, pattern).select("path", "name", "bytes")
+    try:
+        arrow_path(root)
+        # Listed files are few bytes each; dealt one by one, large ones are hashed side by side.
+        hashed = with_digests(found.repartition("path"))
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
+        content = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root)
+        hashed = content.select("path", F.element_at(F.split("path", "/"), -1).alias("name"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    day = F.nullif(F.regexp_extract("path", r"event_date=(\d{4}-\d{2}-\d{2})", 1), F.lit("")).try_cast("date")
+    return hashed.select(
         F.lit(run_id).alias("run_id"),
         F.nullif(F.regexp_extract("path", "product=([^/]+)", 1), F.lit("")).alias("product"),
-        F.coalesce(F.nullif(F.regexp_extract("path", r"event_date=(\d{4}-\d{2}-\d{2})", 1), F.lit("")).try_cast("date"), date_from_name(named)).alias("event_date"),
-        named.alias("file"),
-        F.col("length").alias("bytes"),
-        F.sha2("content", 256).alias("sha256"),
+        F.coalesce(day, date_from_name(F.col("name"))).alias("event_date"),
+        F.col("name").alias("file"),
+        "bytes",
+        "sha256",
     )
 
 

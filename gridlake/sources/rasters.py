@@ -32,6 +32,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from gridlake.sources.files import arrow_path
+
 NAME = "gridlake_raster"
 SCHEMA = "date date, lat double, lon double, value double, quality_level short"
 # Fixed values of the format: tags of the header's lists, and types by number.
@@ -204,11 +206,11 @@ _ALL = (-math.inf, math.inf)
 
 class RasterReader(DataSourceReader):
     def __init__(self, path: str, variable: str, band: float, lat: tuple[float, float] = _ALL, lon: tuple[float, float] = _ALL, days: tuple[date, date] = (date.min, date.max)):
-        self.path, self.variable, self.band, self.box, self.days = path, variable, band, {"lat": lat, "lon": lon}, days
+        self.path, self.variable, self.band, self.box, self.days = path.rstrip("/"), variable, band, {"lat": lat, "lon": lon}, days
 
     def partitions(self) -> list[Band]:
-        store, root = fs.FileSystem.from_uri(self.path) if "://" in self.path or self.path.startswith("file:") else (fs.LocalFileSystem(), self.path)
-        prefix = self.path[: len(self.path.rstrip("/")) - len(root.rstrip("/"))]
+        store, root = arrow_path(self.path)
+        prefix = self.path[: len(self.path) - len(root)]
         south, north = self.box["lat"]
         n = math.ceil(180 / self.band)
         # The southernmost band takes in the pole.
@@ -223,7 +225,7 @@ class RasterReader(DataSourceReader):
         return out
 
     def read(self, part: Band) -> Iterator[pa.RecordBatch]:
-        store, name = fs.FileSystem.from_uri(part.path) if "://" in part.path or part.path.startswith("file:") else (fs.LocalFileSystem(), part.path)
+        store, name = arrow_path(part.path)
         with store.open_input_file(name) as file:
             variables = read_header(file)
             v = variables[self.variable]
@@ -257,7 +259,7 @@ def write_rasters(rasters: DataFrame, out: str, variable: str, name: str = "name
     """Write each row (``date``, ``lat``, ``lon``, ``values`` arrays, and a name) as a file below ``out``; tasks write, the number of files comes back."""
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, root = fs.FileSystem.from_uri(out) if "://" in out or out.startswith("file:") else (fs.LocalFileSystem(), out)
+        store, root = arrow_path(out)
         store.create_dir(root, recursive=True)
         n = 0
         for batch in batches:
