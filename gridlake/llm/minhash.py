@@ -183,7 +183,7 @@ def _links(members: DataFrame, info: DataFrame, classes: DataFrame, texts: DataF
     dropped(members)
     if state.isEmpty():
         return linked, groups
-    near = _linkable(state, groups, info, sets, s)
+    near = _linkable(state, info, sets, s)
     left, memberships = _pairs_apart(near)
     crowded = left > s.crowd * memberships
     for turn in range(s.turns if crowded else 0):
@@ -194,8 +194,8 @@ def _links(members: DataFrame, info: DataFrame, classes: DataFrame, texts: DataF
         tested, new = tested.union(more), more.where("linked").select("a", "b")
         if new.isEmpty():
             break
-        linked, groups = linked.union(new), _joined(groups, new)
-        before, near = near, _apart(near, groups)
+        linked, (groups, moved) = linked.union(new), _joined(groups, new)
+        before, near = near, _moved(near, moved)
         dropped(before)
         before, (left, memberships) = left, _pairs_apart(near)
         if 2 * left > before or left <= s.crowd * memberships:
@@ -205,7 +205,7 @@ def _links(members: DataFrame, info: DataFrame, classes: DataFrame, texts: DataF
         more, _ = _confirmed(pairs, classes, texts, s, sets)
         new = more.where("linked").select("a", "b")
         if not new.isEmpty():
-            linked, groups = linked.union(new), _joined(groups, new)
+            linked, (groups, _) = linked.union(new), _joined(groups, new)
     return linked, groups
 
 
@@ -217,8 +217,8 @@ def _pairs_apart(near: DataFrame) -> tuple[int, int]:
     return left or 0, memberships or 0
 
 
-def _joined(groups: DataFrame, new: DataFrame) -> DataFrame:
-    """The components (node, component) with the links ``new`` (a, b) added; only the components that these touch are worked on."""
+def _joined(groups: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The components (node, component) with the links ``new`` (a, b) added, and where components went (component, target); only those that the links touch are worked on."""
     place = groups.select(F.col("node").alias("a"), F.col("component").alias("u"))
     other = groups.select(F.col("node").alias("b"), F.col("component").alias("v"))
     edges = new.join(place, "a", "left").join(other, "b", "left").select(F.coalesce("u", "a").alias("u"), F.coalesce("v", "b").alias("v"))
@@ -226,7 +226,15 @@ def _joined(groups: DataFrame, new: DataFrame) -> DataFrame:
     first = groups.join(moved.toDF("component", "target"), "component", "left").select("node", F.coalesce("target", "component").alias("component"))
     after = saved(first.union(moved.join(groups.select("node"), "node", "left_anti")), "components")
     dropped(groups)
-    return after
+    return after, moved.toDF("component", "target")
+
+
+def _moved(near: DataFrame, moved: DataFrame) -> DataFrame:
+    """``near`` after components have been joined. Buckets left with one component stay in it; they give no pair."""
+    names = near.columns
+    for column in ("component", "hub_component"):
+        near = near.join(moved.toDF(column, "_target"), column, "left").withColumn(column, F.coalesce("_target", column)).drop("_target")
+    return saved(near.select(*names), "near")
 
 
 def _apart(members: DataFrame, groups: DataFrame) -> DataFrame:
@@ -245,14 +253,12 @@ def _apart(members: DataFrame, groups: DataFrame) -> DataFrame:
     return found
 
 
-def _linkable(state: DataFrame, groups: DataFrame, info: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
-    """The rows of ``state`` that can still be linked, with what bounds their intersections; buckets left with one component go first."""
+def _linkable(state: DataFrame, info: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
+    """The rows of ``state`` that can still be linked, with what bounds their intersections."""
     bounds = saved(_profiles(state, sets), "profiles")
-    able = state.join(info.select("class", "n"), "class").join(bounds.select("hub", "class", "common"), ["hub", "class"], "left")
-    able = able.where(F.col("common").isNull() | (100 * F.col("common") >= s.numerator * F.col("n")))
-    slim = _apart(able.select("key", "hub", "class"), groups)
-    near = saved(slim.join(info, "class").join(bounds, ["hub", "class"], "left"), "near")
-    for done in (state, bounds, slim):
+    able = state.join(info, "class").join(bounds, ["hub", "class"], "left")
+    near = saved(able.where(F.col("common").isNull() | (100 * F.col("common") >= s.numerator * F.col("n"))), "near")
+    for done in (state, bounds):
         dropped(done)
     return near
 
