@@ -78,7 +78,9 @@ def suffix_ranks(table: DataFrame) -> list[DataFrame]:
         size = 1 << (len(levels) - 1)
         ahead = Window.partitionBy("id", "key").orderBy("pos").rangeBetween(size, size)
         pairs = levels[-1].select(*_PLACE, F.col("rank").alias("here"), F.first("rank").over(ahead).alias("next")).where("next is not null")
-        levels.append(_ranked(saved(pairs, "pairs"), ["here", "next"]))
+        pairs = saved(pairs, "pairs")
+        levels.append(_ranked(pairs, ["here", "next"]))
+        dropped(pairs)
     dropped(levels.pop())
     return levels
 
@@ -101,16 +103,16 @@ def copied_runs(levels: list[DataFrame]) -> DataFrame:
     return runs.withColumn("continues", continues & (F.first("first").over(before)["key"] == F.col("first.key"))).where("not continues").select(*_PLACE, "size", "first")
 
 
-def repeated_runs(table: DataFrame, s: Settings = Settings()) -> DataFrame:
-    """(id, key, pos, size): the maximal repeated runs' later copies that are long enough to go (see ``Settings``)."""
+def repeated_runs(table: DataFrame, s: Settings = Settings()) -> tuple[DataFrame, list[DataFrame]]:
+    """(id, key, pos, size): the maximal repeated runs' later copies that are long enough to go (see ``Settings``); and the written tables that this reads."""
     levels = suffix_ranks(table)
     if not levels:
-        return table.select(*_PLACE, F.lit(1).alias("size")).limit(0)
+        return table.select(*_PLACE, F.lit(1).alias("size")).limit(0), []
     runs = copied_runs(levels).where(F.col("size") >= s.min_lines).select(*_PLACE, "size")
     if s.min_lines > 1:
         single = levels[0].where(F.col("later") & (F.col("words") >= s.min_words))
         runs = runs.union(single.select(*_PLACE, F.lit(1).alias("size")))
-    return runs
+    return runs, levels
 
 
 def remove_repeated_lines(docs: DataFrame, s: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -129,8 +131,12 @@ def remove_repeated_lines(docs: DataFrame, s: Settings = Settings(), id_col: str
     others = [c for c in docs.columns if c not in (id_col, text_col, *added)]
     text = F.col(f"`{text_col}`").cast("string")
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), text.alias("text"), F.xxhash64(text).alias("key"), F.struct(*[F.col(f"`{c}`") for c in others]).alias("rest") if others else F.lit(None).cast("int").alias("rest"))
-    table = line_table(rows.where(F.col("id").isNotNull()))
-    runs = repeated_runs(table, s).groupBy("id", "key").agg(F.collect_list(F.struct("pos", "size")).alias("runs"))
+    # Texts are cut into lines once; the ranks read the written table, which goes with them when the runs are known.
+    table = saved(line_table(rows.where(F.col("id").isNotNull())), "lines")
+    found, levels = repeated_runs(table, s)
+    runs = saved(found.groupBy("id", "key").agg(F.collect_list(F.struct("pos", "size")).alias("runs")), "runs")
+    for done in (table, *levels):
+        dropped(done)
     joined = rows.join(runs, ["id", "key"], "left")
     kind = rows.schema["id"].dataType.simpleString()
     keep_type = rows.schema["rest"].dataType.simpleString() if others else "int"
