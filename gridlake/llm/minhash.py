@@ -183,7 +183,8 @@ def _links(members: DataFrame, info: DataFrame, classes: DataFrame, texts: DataF
     dropped(members)
     if state.isEmpty():
         return linked, groups
-    near = _linkable(state, info, sets, s)
+    state, bounds = _linkable(state, info, sets, s)
+    near = _bounded(state, bounds)
     left, memberships = _pairs_apart(near)
     crowded = left > s.crowd * memberships
     for turn in range(s.turns if crowded else 0):
@@ -195,8 +196,10 @@ def _links(members: DataFrame, info: DataFrame, classes: DataFrame, texts: DataF
         if new.isEmpty():
             break
         linked, (groups, moved) = linked.union(new), _joined(groups, new)
-        before, near = near, _moved(near, moved)
+        before, state = state, _moved(state, moved)
         dropped(before)
+        dropped(near)
+        near = _bounded(state, bounds)
         before, (left, memberships) = left, _pairs_apart(near)
         if 2 * left > before or left <= s.crowd * memberships:
             break
@@ -229,12 +232,18 @@ def _joined(groups: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame]:
     return after, moved.toDF("component", "target")
 
 
-def _moved(near: DataFrame, moved: DataFrame) -> DataFrame:
-    """``near`` after components have been joined. Buckets left with one component stay in it; they give no pair."""
-    names = near.columns
+def _moved(state: DataFrame, moved: DataFrame) -> DataFrame:
+    """``state`` after components have been joined."""
+    names = state.columns
     for column in ("component", "hub_component"):
-        near = near.join(moved.toDF(column, "_target"), column, "left").withColumn(column, F.coalesce("_target", column)).drop("_target")
-    return saved(near.select(*names), "near")
+        state = state.join(moved.toDF(column, "_target"), column, "left").withColumn(column, F.coalesce("_target", column)).drop("_target")
+    return saved(state.select(*names), "state")
+
+
+def _bounded(state: DataFrame, bounds: DataFrame) -> DataFrame:
+    """The rows of ``state`` in buckets that still have members outside the first hub's component, with sizes, sketches and bounds."""
+    open_keys = state.where("component <> hub_component").select("key").distinct()
+    return saved(state.join(open_keys, "key", "left_semi").join(bounds, ["hub", "class"]), "near")
 
 
 def _apart(members: DataFrame, groups: DataFrame) -> DataFrame:
@@ -253,14 +262,17 @@ def _apart(members: DataFrame, groups: DataFrame) -> DataFrame:
     return found
 
 
-def _linkable(state: DataFrame, info: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
-    """The rows of ``state`` that can still be linked, with what bounds their intersections."""
-    bounds = saved(_profiles(state, sets), "profiles")
-    able = state.join(info, "class").join(bounds, ["hub", "class"], "left")
-    near = saved(able.where(F.col("common").isNull() | (100 * F.col("common") >= s.numerator * F.col("n"))), "near")
-    for done in (state, bounds):
-        dropped(done)
-    return near
+def _linkable(state: DataFrame, info: DataFrame, sets: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``state`` that can still be linked, and for each hub and class of them size, sketch and what bounds their intersections.
+
+    The bounds are kept apart, one row for the many buckets that a class shares with a hub.
+    """
+    members = state.select("hub", "class").distinct()
+    bounds = members.join(info, "class").join(_profiles(state, sets), ["hub", "class"], "left")
+    bounds = saved(bounds.where(F.col("common").isNull() | (100 * F.col("common") >= s.numerator * F.col("n"))), "bounds")
+    able = saved(state.join(bounds.select("hub", "class"), ["hub", "class"], "left_semi"), "state")
+    dropped(state)
+    return able, bounds
 
 
 def next_hub_pairs(near: DataFrame, turn: int, s: Settings) -> DataFrame:
