@@ -22,7 +22,7 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_oracle(spark, name):
     db = duckdb.connect()
-    for t in ("documents", "benchmark", "labels"):
+    for t in ("documents", "benchmark", "labels", "embeddings"):
         db.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     got = queries.queries()[name](spark, SF)
     want = db.execute(queries.oracle_sql()[name])
