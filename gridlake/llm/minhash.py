@@ -7,6 +7,9 @@ While a bucket's members are in several components, another of those outside the
 further turn; a turn costs one confirmation a member, and templates with shared alternatives become one component
 after few. What is still apart when turns find no more links is confirmed pair by pair across components, unless too
 few of its shingles stand in any other candidate for a link to be possible, so no link between components is missed.
+
+Texts are read again for confirmation. Those that no pair needs leave at the scan, by a broadcast filter of bounded size
+(``_sieved``); the join behind it decides. One text of a class moves once, and its set once more for each confirmation.
 """
 
 from __future__ import annotations
@@ -24,7 +27,8 @@ from gridlake.llm.scratch import dropped, saved
 from gridlake.llm.text import chunks, mix, shingle_sets
 
 _U = np.uint64
-_LOST_WORDS = 8
+_BIT_WORDS = 8
+_FILTER_WORDS = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -113,20 +117,35 @@ def _set_codes(code: np.ndarray, cut: np.ndarray, size: np.ndarray) -> tuple[np.
     return tuple(mix(np.add.reduceat(mix(code ^ salt), cut) + n).view(np.int64) for salt in (_U(0), _U(0x5851F42D4C957F2D)))
 
 
-def shingle_table(docs: DataFrame, s: Settings) -> DataFrame:
-    """``high``, ``low`` and the full set of shingle hashes of each ``text`` that has a word."""
+def shingle_table(rows: DataFrame, s: Settings) -> DataFrame:
+    """``class`` and the full set of shingle hashes of each row's ``text`` that has a word."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for chunk in chunks(batch.column(0)):
-                found = [x for _, x in shingle_sets(chunk, s.shingle) if len(x)]
-                size = np.array([len(x) for x in found], np.int64)
-                code = np.concatenate([*found, np.zeros(0, np.uint64)])
-                border = np.append(0, np.cumsum(size)).astype(np.int32)
-                hashes = [pa.array(half) for half in _set_codes(code, border[:-1], size)]
-                yield pa.RecordBatch.from_arrays([*hashes, pa.ListArray.from_arrays(pa.array(border), pa.array(code.view(np.int64)))], ["high", "low", "shingles"])
+            for chunk in chunks(batch.column(1)):
+                found = [(i, x) for i, x in shingle_sets(chunk, s.shingle) if len(x)]
+                code = np.concatenate([*(x for _, x in found), np.zeros(0, np.uint64)])
+                border = np.cumsum([0, *(len(x) for _, x in found)]).astype(np.int32)
+                owner = batch.column(0).take(pa.array([chunk.first + i for i, _ in found], pa.int64()))
+                yield pa.RecordBatch.from_arrays([owner, pa.ListArray.from_arrays(pa.array(border), pa.array(code.view(np.int64)))], ["class", "shingles"])
+
+    return rows.select("class", F.col("text").cast("string").alias("text")).mapInArrow(sets, "class long, shingles array<long>")
+
 
-    return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(sets, "high long, low long, shingles array<long>")
+def _sieved(rows: DataFrame, wanted: DataFrame, *names: str) -> DataFrame:
+    """``rows`` without most of those that have no equal in ``wanted`` under the columns ``names``; none that has one is lost.
+
+    A Bloom filter of at most ``_FILTER_WORDS`` words of 64 bits is broadcast, each key in three bits of one word. It lets 3
+    of 100 other rows pass at 2 million keys, and more beyond; then more rows reach the join that follows.
+    """
+    code = F.xxhash64(*names)
+    word = F.pmod(code, F.lit(_FILTER_WORDS))
+    bit = "shiftleft(1L, cast(shiftrightunsigned(_code, {}) & 63 as int))"
+    mask = " | ".join(bit.format(shift) for shift in (40, 46, 52))
+    kept = wanted.select(word.alias("_word"), code.alias("_code")).groupBy("_word").agg(F.bit_or(F.expr(mask)).alias("_bits"))
+    marked = rows.select("*", code.alias("_code")).alias("r")
+    fits = (F.pmod("_code", F.lit(_FILTER_WORDS)) == F.col("_word")) & F.expr(f"(_bits & ({mask})) = ({mask})")
+    return marked.join(F.broadcast(kept), fits, "left_semi").drop("_code")
 
 
 def near_duplicates(docs: DataFrame, s: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -146,14 +165,15 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings(), id_col: str = "do
     named = F.col("id").isNotNull()
     signed = saved(signed.withColumns({"high": F.when(named, F.col("high")), "low": F.when(named, F.col("low"))}), "signatures")
     classes = signed.where("high is not null").groupBy("high", "low")
-    classes = classes.agg(F.min("id").alias("id"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands"))
-    classes = saved(classes.withColumn("class", F.monotonically_increasing_id()), "classes")
+    classes = classes.agg(F.min(F.struct("id", "text_key")).alias("one"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands"))
+    classes = saved(classes.select("high", "low", "one.*", "n", "sketch", "bands", F.monotonically_increasing_id().alias("class")), "classes")
     info = classes.select("class", "n", "sketch")
     keyed = classes.select("class", "id", F.explode("bands").alias("key"))
     hubs = keyed.groupBy("key").agg(F.min_by("class", "id").alias("hub"), F.count("*").alias("size")).where("size > 1")
     members = saved(keyed.join(hubs, "key").select("key", "hub", "class"), "members")
 
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    text = F.col(text_col).cast("string")
+    texts = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("text_key"))
     linked, groups = _links(members, info, classes, texts, s)
     named = classes.select("class", "id", "high", "low").join(groups.select(F.col("node").alias("class"), "component"), "class", "left")
     named = named.select("id", "high", "low", F.coalesce("component", "class").alias("component"))
@@ -291,19 +311,29 @@ def _profiles(members: DataFrame, sets: DataFrame) -> DataFrame:
     """What bounds the intersection of two members of a bucket, for members and hubs whose sets are known.
 
     ``common``: the member's shingles that another known set has too; ``outside``: those of them that the hub lacks;
-    ``hub_n``: the hub's size; ``lost``: the hub's shingles that the member lacks, hashed into 512 bits.
+    ``hub_n``: the hub's size; ``lost``: the hub's shingles that the member lacks, hashed into 512 bits; ``added``: the member's
+    that the hub lacks, likewise; ``doubled``: by how many they are more than their bits.
     """
     shingle = sets.select("class", F.explode("shingles").alias("shingle"))
-    shared = shingle.groupBy("shingle").agg(F.count("*").alias("holders")).where("holders > 1").select("shingle")
-    common = shingle.join(members.select("class").distinct(), "class", "left_semi").join(shared, "shingle").groupBy("class").agg(F.count("*").alias("common"))
+    alone = shingle.groupBy("shingle").agg(F.count("*").alias("holders"), F.min("class").alias("class")).where("holders = 1")
+    alone = alone.groupBy("class").agg(F.count("*").alias("alone"))
     hubs = sets.select(F.col("class").alias("hub"), F.col("shingles").alias("hub_set"))
     both = members.select("hub", "class").distinct().join(sets, "class").join(hubs, "hub")
-    both = both.select("hub", "class", F.size("hub_set").alias("hub_n"), F.array_except("hub_set", "shingles").alias("gone"))
-    word = f"aggregate(gone, 0L, (b, s) -> if(pmod(s, {_LOST_WORDS}) = w, b | shiftleft(1L, cast(pmod(shiftright(s, 3), 64) as int)), b))"
-    lost = both.selectExpr("hub", "class", "hub_n", "size(gone) as n_lost", f"transform(sequence(0, {_LOST_WORDS - 1}), w -> {word}) as lost")
-    known = lost.join(common, "class", "left").withColumn("common", F.coalesce("common", F.lit(0)))
+    both = both.select(
+        "hub",
+        "class",
+        F.size("shingles").alias("own_n"),
+        F.size("hub_set").alias("hub_n"),
+        F.array_except("hub_set", "shingles").alias("gone"),
+        F.array_except("shingles", "hub_set").alias("new"),
+    )
+    word = "aggregate({}, 0L, (b, s) -> if(pmod(s, {}) = w, b | shiftleft(1L, cast(pmod(shiftright(s, 3), 64) as int)), b))"
+    bits = {name: F.expr(f"transform(sequence(0, {_BIT_WORDS - 1}), w -> {word.format(of, _BIT_WORDS)})") for name, of in (("lost", "gone"), ("added", "new"))}
+    both = both.select("hub", "class", "own_n", "hub_n", F.size("gone").alias("n_lost"), F.size("new").alias("n_added"), *[x.alias(name) for name, x in bits.items()])
+    known = both.join(alone, "class", "left").withColumn("common", F.col("own_n") - F.coalesce("alone", F.lit(0)))
     outside = F.greatest(F.col("common") - (F.col("hub_n") - F.col("n_lost")), F.lit(0))  # the hub itself has none
-    return known.select("hub", "class", "common", outside.alias("outside"), "hub_n", "lost")
+    doubled = F.col("n_added") - sum((F.bit_count(F.col("added")[i]) for i in range(_BIT_WORDS)), F.lit(0))
+    return known.select("hub", "class", "common", outside.alias("outside"), "hub_n", "lost", "added", doubled.alias("doubled"))
 
 
 def _pairs(x: DataFrame, y: DataFrame, condition: F.Column) -> DataFrame:
@@ -314,11 +344,14 @@ def _pairs(x: DataFrame, y: DataFrame, condition: F.Column) -> DataFrame:
 def _possible(s: Settings) -> F.Column:
     """Members ``x`` and ``y`` of a bucket may be linked.
 
-    Two members share at most the hub's shingles that neither lacks and what both have outside the hub. Where that is too
-    little for the threshold the pair can't be a link. This spares near copies with edits of their own.
+    Two members share at most the hub's shingles that neither lacks and what both have outside the hub: no more than either
+    has there with others, and than the bits which both set, each for one shingle and for those of one member that
+    share a bit. Where that is too little for the threshold the pair can't be a link. This spares near copies with
+    edits of their own, and fillings of one template that differ in more places than a link allows.
     """
-    kept = F.col("x.hub_n") - sum((F.bit_count(F.col("x.lost")[i].bitwiseOR(F.col("y.lost")[i])) for i in range(_LOST_WORDS)), F.lit(0))
-    most = F.least("x.common", "y.common", kept + F.least("x.outside", "y.outside"))
+    kept = F.col("x.hub_n") - sum((F.bit_count(F.col("x.lost")[i].bitwiseOR(F.col("y.lost")[i])) for i in range(_BIT_WORDS)), F.lit(0))
+    met = sum((F.bit_count(F.col("x.added")[i].bitwiseAND(F.col("y.added")[i])) for i in range(_BIT_WORDS)), F.lit(0))
+    most = F.least("x.common", "y.common", kept + F.least("x.outside", "y.outside", met + F.least("x.doubled", "y.doubled")))
     bounded = F.col("x.common").isNull() | F.col("y.common").isNull() | ((100 + s.numerator) * most >= s.numerator * (F.col("x.n") + F.col("y.n")))
     return _near(F.col("x.n"), F.col("y.n"), F.col("x.sketch"), F.col("y.sketch"), s) & bounded
 
@@ -346,16 +379,16 @@ def _plausible(pairs: DataFrame, info: DataFrame, s: Settings) -> DataFrame:
 def _confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, s: Settings, sets: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Candidate pairs (a written table) with ``linked``, decided on the full shingle sets of one document of each class; and those sets."""
     used = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()  # a hub stands in many pairs
-    missing = classes.select("class", "id", "high", "low").join(used, "class", "left_semi")
+    missing = classes.select("class", "id", "text_key").join(used, "class", "left_semi")
     missing = saved(missing if sets is None else missing.join(sets, "class", "left_anti"), "wanted")
     if sets is None or not missing.isEmpty():
-        read = shingle_table(texts.join(missing, "id", "left_semi"), s).join(missing.select("class", "high", "low"), ["high", "low"])
-        read = saved(read.groupBy("class").agg(F.first("shingles").alias("shingles")), "sets")
+        one = _sieved(texts, missing, "id", "text_key").groupBy("id", "text_key").agg(F.first("text").alias("text"))
+        read = saved(shingle_table(one.join(missing, ["id", "text_key"]), s), "sets")
         known = read if sets is None else sets.union(read)
     else:
         known = sets
     if sets is not None:  # few of the sets known from before are needed
-        sets = saved(known.join(used, "class", "left_semi"), "needed")
+        sets = saved(_sieved(known, used, "class").join(used, "class", "left_semi"), "needed")
     else:
         sets = known
     dropped(missing)
