@@ -152,6 +152,34 @@ def test_template_pages_cost_a_few_confirmations_each(spark, monkeypatch):
     assert sum(counts) < 40 * len(pages)  # all pairs of the buckets are 72,602
 
 
+def test_template_pages_that_are_apart_are_confirmed_with_hubs_only(spark, monkeypatch):
+    confirm, counts = minhash._confirmed, []
+
+    def counting(*args):
+        found = confirm(*args)
+        counts.append(found[0].count())
+        return found
+
+    monkeypatch.setattr(minhash, "_confirmed", counting)
+    pages = template_pages(400, slots=14, choices=40, words=290)
+    got = minhash.near_duplicates(spark.createDataFrame(pages, "doc_id long, text string"), minhash.Settings(shingle=3, numerator=85)).collect()
+    assert {r.doc_id: r.component_id for r in got} == {i: i for i, _ in pages}
+    assert sum(counts) < 20 * len(pages)  # all pairs are 79,800
+
+
+@pytest.mark.parametrize("words", [1, 64, 1 << 18])
+def test_sieve_loses_no_row_that_is_wanted(spark, monkeypatch, words):
+    monkeypatch.setattr(minhash, "_FILTER_WORDS", words)
+    rows = spark.range(20_000).select("id", F.when(F.col("id") % 7 > 0, F.xxhash64("id")).alias("text_key"), F.lit("x").alias("_note"))
+    wanted = rows.where("id % 50 = 3").select("id", "text_key")
+    got = minhash._sieved(rows, wanted, "id", "text_key")
+    assert got.columns == rows.columns
+    found = {r.id for r in got.collect()}
+    assert found >= set(range(3, 20_000, 50))
+    assert len(found) < 500 or words < 1 << 18  # a full filter lets others pass, the join behind it decides
+    assert minhash._sieved(rows, wanted.limit(0), "id", "text_key").count() == 0
+
+
 def test_without_near_duplicates_keeps_texts_of_one_id(spark):
     text = " ".join(f"w{i}" for i in range(40))
     rows = [(5, text, "a"), (5, text, "b"), (3, text, "c"), (9, None, "d"), (9, "other words here", "e"), (9, "Other words here", "f"), (9, "third text", "g"), (None, text, "h"), (None, text, "h"), (8, "", "i"), (8, "", "i")]
