@@ -82,6 +82,16 @@ def clip_area_table(df: DataFrame, areas: DataFrame) -> DataFrame:
     return point.join(cover, ["_level", "_y", "_x"]).where(inside).select(*df.columns, F.col("id").alias("aoi_id"))
 
 
+def area_sums(df: DataFrame, areas: DataFrame, value: str) -> DataFrame:
+    """``aoi_id``, ``n`` rows and ``total`` of a value for each area of a table that holds a point.
+
+    Rows of one place are summed before they meet areas, so an area costs as many rows as it has places, whatever the
+    number of days, products and repeats; on a grid that is bounded by the area's cells.
+    """
+    places = df.where("lat is not null and lon is not null").groupBy("lat", "lon").agg(F.count("*").alias("n"), F.sum(value).alias("total"))
+    return clip_area_table(places, areas).groupBy("aoi_id").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
+
+
 def valid_range(df: DataFrame) -> DataFrame:
     """Keep values inside their product's range, both ends included; NaN is outside every range."""
     tests = [(F.col("product") == p.id) & F.col("metric_value").between(p.low, p.high) for p in PRODUCTS]

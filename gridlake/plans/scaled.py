@@ -170,7 +170,7 @@ for _d in ("23.5", "119.5", "50", "48", "24"):
 
 @register(over(f"SELECT a.id AS aoi_id, count(*) AS n, round(sum(metric_value), 4) AS total FROM conformed c JOIN ({_AREAS_SQL}) a ON c.lat BETWEEN a.min_lat AND a.max_lat AND c.lon BETWEEN a.min_lon AND a.max_lon GROUP BY a.id"))
 def clip_many_areas(x: Layers) -> DataFrame:
-    """An area for each customer: points meet areas by tiles."""
+    """An area for each customer: places, with the sums of their rows, meet areas by tiles."""
     areas = x.spark.sql(_AREAS, customer=table(x.spark, x.sf_dir, "customer"))
-    rows = clean.clip_area_table(clean.conform(x.observations()), areas)
-    return rows.groupBy("aoi_id").agg(F.count("*").alias("n"), F.round(F.sum("metric_value"), 4).alias("total"))
+    sums = clean.area_sums(clean.conform(x.observations()), areas, "metric_value")
+    return sums.select("aoi_id", "n", F.round("total", 4).alias("total"))

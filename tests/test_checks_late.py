@@ -210,6 +210,27 @@ def test_ten_thousand_areas_without_a_nested_loop(spark):
     assert sorted(map(tuple, clean.clip_area_table(df, own).collect())) == sorted(map(tuple, clean.clip_areas(df, few).collect()))
 
 
+def test_rows_of_one_place_meet_areas_once(spark, monkeypatch):
+    rng, met, real = random.Random(3), [], clean.clip_area_table
+    points = [(rng.choice([1.5, 2.5, -0.0, 0.0]), rng.choice([8.0, 9.0]), rng.choice([None, 0.25, 3.0])) for _ in range(2000)] + [(None, 8.0, 1.0), (1.5, None, 1.0), (7.0, 7.0, None)]
+    areas = [(f"a{k}", lat, lat + k % 3, lon, lon + k % 2) for k, (lat, lon) in enumerate((rng.choice([0.0, 1.5, 2.0, 6.0, 40.0]), rng.choice([7.0, 8.0, 8.5])) for _ in range(60))] + [("own", 7.0, 7.0, 7.0, 7.0)]
+
+    def clip(df, held):
+        met.append(df)
+        return real(df, held)
+
+    monkeypatch.setattr(clean, "clip_area_table", clip)
+    df = spark.createDataFrame(points, "lat double, lon double, v double")
+    got = clean.area_sums(df, spark.createDataFrame(areas, "id string, min_lat double, max_lat double, min_lon double, max_lon double"), "v")
+    want = {}
+    for name, low, high, west, east in areas:
+        inside = [v for lat, lon, v in points if lat is not None and lon is not None and low <= lat <= high and west <= lon <= east]
+        values = [v for v in inside if v is not None]
+        want |= {name: (len(inside), sum(values) if values else None)} if inside else {}
+    assert {r.aoi_id: (r.n, r.total) for r in got.collect()} == want and (None in {t for _, t in want.values()})
+    assert met[0].count() == 7  # six places of 2,000 rows, and one without a value
+
+
 # ---- digests, order of written rows ------------------------------------------------------------------------------
 
 
