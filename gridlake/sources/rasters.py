@@ -3,7 +3,7 @@
     read_rasters(spark, folder, "chlor_a", lat=(20, 27), lon=(118, 124), days=(start, end))
 
 gives the rows (date, lat, lon, value, quality_level) of the files below a folder; cells whose value is missing give no row. A
-partition is one file's band of latitudes. The days leave out files by the date in their names, the latitudes leave out
+partition is one file's band of latitudes; of many bands, those of small files share one (``Pack``). The days leave out files by the date in their names, the latitudes leave out
 bands, both before any file is opened; rows and columns are then chosen inside the file, so bytes outside the box
 stay on disk.
 
@@ -22,7 +22,7 @@ import math
 import re
 import struct
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date
 
 import numpy as np
@@ -184,6 +184,38 @@ class Band(InputPartition):
     north: float
 
 
+@dataclass
+class Pack(InputPartition):
+    """Bands that one task reads, one after another; those of one file that touch are one band."""
+
+    bands: list[Band]
+
+
+# More bands than this are packed: into about as many tasks, or into more of _TASK_BYTES each. Opening a file counts as
+# _OPEN_BYTES.
+_FEW, _TASK_BYTES, _OPEN_BYTES = 128, 32 << 20, 64 << 10
+_BATCH_ROWS = 1 << 16
+
+
+def packed(bands: Sequence[Band], sizes: Sequence[float]) -> list[Band] | list[Pack]:
+    """Bands, those of a file together, as partitions; ``sizes`` are the bytes that each may read."""
+    if len(bands) <= _FEW:
+        return list(bands)
+    most = min(_TASK_BYTES, sum(sizes) / _FEW)
+    out, held = [], 0.0
+    for band, size in zip(bands, sizes, strict=True):
+        if not out or held + size > most:
+            out.append(Pack([]))
+            held = 0.0
+        held += size
+        own = out[-1].bands
+        if own and own[-1].path == band.path and own[-1].south == band.north:
+            own[-1] = replace(own[-1], south=band.south)
+        else:
+            own.append(band)
+    return out
+
+
 class RasterSource(DataSource):
     """Options: ``path``, ``variable``, ``bandDegrees`` (height of a band), ``lat``, ``lon`` and ``days`` (two values each, both ends included)."""
 
@@ -208,7 +240,7 @@ class RasterReader(DataSourceReader):
     def __init__(self, path: str, variable: str, band: float, lat: tuple[float, float] = _ALL, lon: tuple[float, float] = _ALL, days: tuple[date, date] = (date.min, date.max)):
         self.path, self.variable, self.band, self.box, self.days = path.rstrip("/"), variable, band, {"lat": lat, "lon": lon}, days
 
-    def partitions(self) -> list[Band]:
+    def partitions(self) -> list[Band] | list[Pack]:
         store, root = arrow_path(self.path)
         prefix = self.path[: len(self.path) - len(root)]
         south, north = self.box["lat"]
@@ -216,15 +248,29 @@ class RasterReader(DataSourceReader):
         # The southernmost band takes in the pole.
         bands = [(90 - (k + 1) * self.band if k < n - 1 else -math.inf, 90 - k * self.band) for k in range(n)]
         bands = [(low, high) for low, high in bands if high >= south and low < north]
-        out = []
+        out, sizes = [], []
         for info in sorted(store.get_file_info(fs.FileSelector(root, recursive=True)), key=lambda i: i.path):
             day = name_date(info.base_name) if info.type == fs.FileType.File and info.base_name.endswith(".nc") else None
             if day is None or not self.days[0] <= day <= self.days[1]:
                 continue
             out += [Band(prefix + info.path, day, low, high) for low, high in bands]
-        return out
-
-    def read(self, part: Band) -> Iterator[pa.RecordBatch]:
+            sizes += [(info.size + _OPEN_BYTES) / len(bands)] * len(bands)
+        return packed(out, sizes)
+
+    def read(self, part: Band | Pack) -> Iterator[pa.RecordBatch]:
+        rows, n = [], 0
+        for band in part.bands if isinstance(part, Pack) else [part]:
+            for row in self._rows(band):
+                rows.append(row)
+                n += len(row[3])
+                if n >= _BATCH_ROWS:
+                    yield _batch(rows)
+                    rows, n = [], 0
+        if rows:
+            yield _batch(rows)
+
+    def _rows(self, part: Band) -> Iterator[tuple[date, float, np.ndarray, np.ndarray, np.ndarray | None]]:
+        """Day, latitude, longitudes, values and qualities (None: the file has none) of each row inside the box."""
         store, name = arrow_path(part.path)
         with store.open_input_file(name) as file:
             variables = read_header(file)
@@ -241,9 +287,17 @@ class RasterReader(DataSourceReader):
                 value = _values(_read(file, v, row * len(lon) + first, n), v)
                 keep = inside & ~np.isnan(value)
                 grade = _read(file, quality, row * len(lon) + first, n).astype(np.int16)[keep] if quality is not None else None
-                k = int(keep.sum())
-                columns_of = [pa.array([part.day] * k, pa.date32()), pa.array(np.full(k, lat[row])), pa.array(lon[first : first + n][keep]), pa.array(value[keep])]
-                yield pa.RecordBatch.from_arrays([*columns_of, pa.array(grade) if grade is not None else pa.nulls(k, pa.int16())], ["date", "lat", "lon", "value", "quality_level"])
+                yield part.day, lat[row], lon[first : first + n][keep], value[keep], grade
+
+
+def _batch(rows: list[tuple[date, float, np.ndarray, np.ndarray, np.ndarray | None]]) -> pa.RecordBatch:
+    days, lats, lons, values, grades = zip(*rows, strict=True)
+    n = [len(v) for v in values]
+    grade = np.concatenate([np.zeros(k, np.int16) if g is None else g for g, k in zip(grades, n, strict=True)])
+    ungraded = np.repeat([g is None for g in grades], n)
+    day = np.repeat(np.array(days, "datetime64[D]"), n)
+    columns = [pa.array(day), pa.array(np.repeat(lats, n)), pa.array(np.concatenate(lons)), pa.array(np.concatenate(values)), pa.array(grade, pa.int16(), mask=ungraded)]
+    return pa.RecordBatch.from_arrays(columns, ["date", "lat", "lon", "value", "quality_level"])
 
 
 def read_rasters(
@@ -269,5 +323,5 @@ def write_rasters(rasters: DataFrame, out: str, variable: str, name: str = "name
                 n += 1
         yield pa.RecordBatch.from_arrays([pa.array([n])], ["n"])
 
-    rows = rasters.select("date", "lat", "lon", "values", F.col(name).cast("string").alias("name"))
+    rows = rasters.select("date", "lat", "lon", "values", F.col(name).cast("string").alias("name")).repartition("name")  # a file costs far more than its row in a shuffle
     return rows.mapInArrow(write, "n long").agg(F.sum("n")).first()[0] or 0

@@ -101,6 +101,32 @@ def test_packed_values_and_poles(spark, tmp_path):
     assert math.isnan(rasters._values(np.array([np.inf], ">f4"), rasters.Variable((1,), np.dtype(">f4"), 0, {}))[0])
 
 
+def test_many_small_files_share_tasks(spark, tmp_path):
+    """900 files of two bands, some with quality: every row once, a file of two bands opened once, tasks bounded by bytes."""
+    rng, want = np.random.default_rng(5), set()
+    for k in range(900):
+        values, day = rng.random((4, 3)), date(2024, 1, 1 + k % 30)
+        values[rng.random(values.shape) < 0.2] = np.nan
+        quality = rng.integers(0, 4, values.shape) if k % 2 else None
+        (tmp_path / f"r{k}.{day:%Y%m%d}.nc").write_bytes(rasters.netcdf_bytes([19.0, 15.0, 9.0, 5.0], [k, k + 0.25, k + 0.5], "v", values, quality))
+        want |= {(day, lat, k + j / 4, values[i, j], int(quality[i, j]) if k % 2 else None) for i, lat in enumerate((19.0, 15.0, 9.0, 5.0)) for j in range(3) if not np.isnan(values[i, j]) and lat > 5}
+    box = {"lat": (6.0, 20.0), "days": (date(2024, 1, 1), date(2024, 1, 30))}
+    found = rasters.read_rasters(spark, str(tmp_path), "v", **box)
+    assert found.rdd.getNumPartitions() <= 130
+    rows = [tuple(r) for r in found.collect()]
+    assert len(rows) == len(want) and set(rows) == want
+    parts = rasters.RasterReader(str(tmp_path), "v", 10, **box).partitions()
+    held = [b for p in parts for b in p.bands]
+    assert len(held) < 1100 and {(b.south, b.north) for b in held} <= {(0, 20), (0, 10), (10, 20)}
+
+
+def test_large_bands_stay_apart():
+    bands = [rasters.Band(f"{k // 2}.nc", date(2024, 1, 1), 10 - k % 2 * 10, 20 - k % 2 * 10) for k in range(300)]
+    assert [p.bands for p in rasters.packed(bands, [rasters._TASK_BYTES + 1] * 300)] == [[b] for b in bands]
+    some = rasters.packed(bands, [rasters._TASK_BYTES / 8] * 300)
+    assert 128 <= len(some) and max(len(p.bands) for p in some) <= 8
+
+
 HEADER = "date,cell_ll_lat,cell_ll_lon,flag,geartype,hours,fishing_hours,mmsi_present\n"
 
 
