@@ -620,7 +620,8 @@ def date_from_filename(x: Layers) -> DataFrame:
 def file_manifest(x: Layers) -> DataFrame:
     """A file for each product and day, and none of these days reported as broken."""
     path = new_folder(x.spark, "days")
-    x.observations().withColumn("event_date", F.col("date")).repartition("product", "event_date").write.partitionBy("product", "event_date").parquet(path)
+    with sinks.streamed_writes(x.spark):
+        x.observations().withColumn("event_date", F.col("date")).repartition("product", "event_date").write.partitionBy("product", "event_date").parquet(path)
     manifest = files.file_manifest(x.spark, path, "run-1")
     broken = files.file_count_violations(manifest, [p.id for p in PRODUCTS], START, END)
     hashed = (F.length("sha256") == 64) & (F.col("bytes") > 0)
@@ -631,8 +632,9 @@ def file_manifest(x: Layers) -> DataFrame:
 def file_inventory(x: Layers) -> DataFrame:
     root = new_folder(x.spark, "formats")
     tagged = x.observations().withColumn("year", F.year("date")).repartition("year")
-    tagged.write.partitionBy("year").csv(f"{root}/csv", header=True)
-    tagged.write.partitionBy("year").parquet(f"{root}/parquet")
+    with sinks.streamed_writes(x.spark):  # a year is one file, so one task: its rows pass through it
+        tagged.write.partitionBy("year").csv(f"{root}/csv", header=True)
+        tagged.write.partitionBy("year").parquet(f"{root}/parquet")
     return files.file_inventory(x.spark, root, "year").select("year", "format", "files", (F.col("csv_to_parquet") > 0).alias("has_ratio"))
 
 

@@ -13,7 +13,7 @@ from gridlake.functions import grid as G
 from gridlake.functions import indicators as I
 from gridlake.model import AREAS, KEYS, Area
 from gridlake.operators import checks, clean, daily, dashboard, features, fill, score, spine
-from gridlake.plans import publish, serving
+from gridlake.plans import publish, queries, serving
 from gridlake.plans.layers import Layers
 from gridlake.sources import files, sinks
 
@@ -305,3 +305,24 @@ def test_serving_reads_partitions(spark, tmp_path):
     assert [tuple(r) for r in trend.collect()] == [tuple(r) for r in serving.trend(layers.dashboard(), D2, "probe", "CHL", "chlor_a", 32, None).collect()]
     counts = lambda status: sorted((r.event_date, r.resolution_km, r.status_class, r.cell_count) for r in status.collect())
     assert counts(stored.status()) == counts(layers.status())
+
+
+def test_a_task_that_writes_one_folder_does_not_hold_its_rows(spark, tmp_path):
+    """Stages that write files need no memory for a sort; a task with more folders than open files still writes them all."""
+    sc = spark.sparkContext
+    before = spark.conf.get(sinks._OPEN_FILES, None)
+    sc.setJobGroup("streamed", "")
+    queries.QUERIES["file_inventory"](spark, "/root/testdata/sf0.001")
+    rows = spark.range(0, 3000, 1, 1).selectExpr("id", "date'2024-01-01' + cast(id % 30 as int) as date", "concat('P', id % 2) as product")
+    sinks.write_monthly(rows, f"{tmp_path}/one")
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    sc._jsc.sc().listenerBus().waitUntilEmpty()
+    tracker, store = sc.statusTracker(), sc._jsc.sc().statusStore()
+    stages = [store.lastStageAttempt(k) for job in tracker.getJobIdsForGroup("streamed") for k in tracker.getJobInfo(job).stageIds]
+    writing = [s.peakExecutionMemory() for s in stages if s.outputBytes() > 0]
+    assert len(writing) >= 3 and set(writing) == {0}
+    assert spark.read.parquet(f"{tmp_path}/one").count() == 3000 and spark.conf.get(sinks._OPEN_FILES, None) == before
+    with sinks.streamed_writes(spark, files=3):
+        rows.write.partitionBy("date").parquet(f"{tmp_path}/many")
+    found = spark.read.parquet(f"{tmp_path}/many")
+    assert sorted(map(tuple, found.select(*rows.columns).collect())) == sorted(map(tuple, rows.collect()))
