@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from gridlake.llm.scratch import saved
 from gridlake.llm.text import chunks
-from gridlake.llm.tokens import encoder
+from gridlake.llm.tokens import ENCODED_BYTES, encoder
 
 
 def pack(
@@ -39,7 +39,7 @@ def pack(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of, at = encoder(tokenizer_path), 0
         for batch in batches:
-            for chunk in chunks(batch.column(1)):
+            for chunk in chunks(batch.column(1), ENCODED_BYTES):
                 ids, border = ids_of(chunk)
                 end = np.array([end_id], ids.dtype).tobytes()
                 raw, wide = ids.tobytes(), ids.dtype.itemsize

@@ -37,7 +37,11 @@ class Chunk:
 
 
 def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[Chunk]:
-    """Cut a text column (null: empty) into chunks of whole rows with at most ``limit`` bytes, or one row."""
+    """Cut a text column (null: empty) into chunks of whole rows with at most ``limit`` bytes, or one row.
+
+    What Arrow holds of earlier batches goes back to the system first, since a worker's memory counts with its executor's.
+    """
+    pa.default_memory_pool().release_unused()
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = column.cast(pa.large_string())

@@ -14,7 +14,10 @@ from pyspark.sql import functions as F
 
 from gridlake.llm.text import Chunk, SpanHasher, chunks
 
-CACHED_PIECES = 1_000_000
+# Workers live on after their stage and keep both halves, some 200 bytes a piece.
+CACHED_PIECES = 250_000
+# Arrays of an eight-byte number for each byte, several at a time.
+ENCODED_BYTES = 1 << 20
 _OTHER, _LETTER, _DIGIT, _SPACE, _BLANK = range(5)
 
 
@@ -188,7 +191,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer_path)
         for batch in batches:
-            sizes = [np.diff(encode(chunk)[1]) for chunk in chunks(batch.column(1))]
+            sizes = [np.diff(encode(chunk)[1]) for chunk in chunks(batch.column(1), ENCODED_BYTES)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate([*sizes, np.zeros(0, np.int64)]))], ["id", "n_tokens"])
 
     kind = rows.schema["id"].dataType.simpleString()

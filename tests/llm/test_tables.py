@@ -303,3 +303,12 @@ def test_pipeline_on_odd_rows(spark, tmp_path):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         kept = stage(spark, kept, f"{tmp_path}/a")
         assert kept.columns == docs.columns
+
+
+def test_an_encoder_keeps_a_bounded_number_of_pieces():
+    """Workers outlive their stage: what one keeps counts with its executor's memory in all later stages."""
+    own = tokens.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = [" ".join(f"x{k:x}".translate(str.maketrans("0123456789", "ghijklmnop")) for k in range(i, i + 4000)) for i in range(0, 400_000, 4000)]
+    for chunk in text.chunks(pa.array(texts), 64 << 10):
+        own(chunk)
+    assert 100_000 < len(own.known) + len(own.before) < 300_000
