@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from gridlake.llm.text import Chunk, Words, chunks, mix, runs, words
+from gridlake.llm.text import CHUNK_BYTES, Chunk, Words, chunks, mix, runs, words
 
 _U = np.uint64
 
@@ -164,7 +164,7 @@ def contaminated(docs: DataFrame, items: DataFrame, s: Settings = Settings(), id
         def search(batches: Iterator[pa.RecordBatch], shared: Broadcast = shared) -> Iterator[pa.RecordBatch]:
             wanted = shared.value
             for batch in batches:
-                for chunk in chunks(batch.column(1)):
+                for chunk in chunks(batch.column(1), CHUNK_BYTES // 4):
                     found: list[dict] = [{} for _ in range(len(chunk))]
                     for r, m, share in wanted.matches(chunk, words(chunk, lower=True), s):
                         item = wanted.ids[m]

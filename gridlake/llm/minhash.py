@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from gridlake.llm.components import components
 from gridlake.llm.scratch import dropped, saved
-from gridlake.llm.text import chunks, mix, shingle_sets
+from gridlake.llm.text import CHUNK_BYTES, chunks, mix, shingle_sets
 
 _U = np.uint64
 _BIT_WORDS = 8
@@ -75,7 +75,7 @@ def signatures(docs: DataFrame, s: Settings, id_col: str = "doc_id", text_col: s
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for chunk in chunks(batch.column(1)):
+            for chunk in chunks(batch.column(1), CHUNK_BYTES // 4):
                 sets = [found for _, found in shingle_sets(chunk, s.shingle)]
                 size = np.array([len(x) for x in sets], np.int64)
                 full = np.flatnonzero(size)
@@ -122,7 +122,7 @@ def shingle_table(rows: DataFrame, s: Settings) -> DataFrame:
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for chunk in chunks(batch.column(1)):
+            for chunk in chunks(batch.column(1), CHUNK_BYTES // 4):
                 found = [(i, x) for i, x in shingle_sets(chunk, s.shingle) if len(x)]
                 code = np.concatenate([*(x for _, x in found), np.zeros(0, np.uint64)])
                 border = np.cumsum([0, *(len(x) for _, x in found)]).astype(np.int32)
