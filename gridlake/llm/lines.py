@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridlake.llm.scratch import dropped, saved
+from gridlake.llm.scratch import dropped, saved, settled
 from gridlake.llm.text import chunks, lines, words
 
 
@@ -85,22 +85,42 @@ def suffix_ranks(table: DataFrame) -> list[DataFrame]:
     return levels
 
 
-def copied_runs(levels: list[DataFrame]) -> DataFrame:
-    """The maximal repeated runs' later copies: place, ``size`` in lines, and ``first``, the place that they are copies of."""
+def _longest_runs(levels: list[DataFrame]) -> DataFrame:
+    """Every later copy: place, ``first``, the earliest place of its last interval, and ``size``, their common prefix in lines.
+
+    Each step down the ranks is a written table of the copies from the levels above. So no plan holds more than two joins
+    however many levels there are: the driver plans all exchanges of a plan at once, and its memory would grow with them.
+    """
     tops = [rank.where("later").select(*_PLACE, F.lit(k).alias("level"), "first") for k, rank in enumerate(levels)]
     tops = reduce(DataFrame.union, tops).groupBy(*_PLACE).agg(F.max(F.struct("level", "first")).alias("top"))
-    runs = tops.select(*_PLACE, "top.first", "top.level", F.expr("shiftleft(1, top.level)").alias("size"))
+    tops = saved(tops.select(*_PLACE, "top.first", "top.level", F.expr("shiftleft(1, top.level)").alias("size")), "tops")
+    columns, longer = [*_PLACE, "first", "size"], None
     for k in reversed(range(len(levels) - 1)):
+        runs = tops.where(F.col("level") == k + 1).select(*columns)
+        runs = runs if longer is None else runs.union(longer)
         own = levels[k].select("id", "key", F.col("pos").alias("at"), F.col("rank").alias("own_rank"))
         theirs = levels[k].select(F.col("id").alias("f_id"), F.col("key").alias("f_key"), F.col("pos").alias("f_at"), F.col("rank").alias("first_rank"))
-        longer = runs.withColumn("at", F.col("pos") + F.col("size"))
-        longer = longer.withColumns({"f_id": F.col("first.id"), "f_key": F.col("first.key"), "f_at": F.col("first.pos") + F.col("size")})
-        longer = longer.join(own, ["id", "key", "at"], "left").join(theirs, ["f_id", "f_key", "f_at"], "left")
-        more = (F.col("level") > k) & (F.col("own_rank") == F.col("first_rank"))
-        runs = longer.select(*_PLACE, "first", "level", (F.col("size") + F.when(more, 1 << k).otherwise(0)).alias("size"))
-    before = Window.partitionBy("id", "key").orderBy("pos").rangeBetween(-1, -1)
-    continues = F.coalesce((F.first("first").over(before)["pos"] + 1 == F.col("first.pos")) & (F.first("size").over(before) == F.col("size") + 1), F.lit(False))
-    return runs.withColumn("continues", continues & (F.first("first").over(before)["key"] == F.col("first.key"))).where("not continues").select(*_PLACE, "size", "first")
+        ahead = runs.withColumn("at", F.col("pos") + F.col("size"))
+        ahead = ahead.withColumns({"f_id": F.col("first.id"), "f_key": F.col("first.key"), "f_at": F.col("first.pos") + F.col("size")})
+        ahead = ahead.join(own, ["id", "key", "at"], "left").join(theirs, ["f_id", "f_key", "f_at"], "left")
+        more = F.when(F.col("own_rank") == F.col("first_rank"), 1 << k).otherwise(0)
+        before, longer = longer, saved(ahead.select(*_PLACE, "first", (F.col("size") + more).alias("size")), "longer")
+        if before is not None:
+            dropped(before)
+    runs = tops.where("level = 0").select(*columns)
+    return runs if longer is None else runs.union(longer)
+
+
+def copied_runs(levels: list[DataFrame]) -> DataFrame:
+    """The maximal repeated runs' later copies, a written table: place, ``size`` in lines, and ``first``, the place that they are copies of."""
+
+    def maximal() -> DataFrame:
+        runs = _longest_runs(levels)
+        before = Window.partitionBy("id", "key").orderBy("pos").rangeBetween(-1, -1)
+        continues = F.coalesce((F.first("first").over(before)["pos"] + 1 == F.col("first.pos")) & (F.first("size").over(before) == F.col("size") + 1), F.lit(False))
+        return runs.withColumn("continues", continues & (F.first("first").over(before)["key"] == F.col("first.key"))).where("not continues").select(*_PLACE, "size", "first")
+
+    return settled(maximal, "copies")
 
 
 def repeated_runs(table: DataFrame, s: Settings = Settings()) -> tuple[DataFrame, list[DataFrame]]:
@@ -108,11 +128,12 @@ def repeated_runs(table: DataFrame, s: Settings = Settings()) -> tuple[DataFrame
     levels = suffix_ranks(table)
     if not levels:
         return table.select(*_PLACE, F.lit(1).alias("size")).limit(0), []
-    runs = copied_runs(levels).where(F.col("size") >= s.min_lines).select(*_PLACE, "size")
+    copies = copied_runs(levels)
+    runs = copies.where(F.col("size") >= s.min_lines).select(*_PLACE, "size")
     if s.min_lines > 1:
         single = levels[0].where(F.col("later") & (F.col("words") >= s.min_words))
         runs = runs.union(single.select(*_PLACE, F.lit(1).alias("size")))
-    return runs, levels
+    return runs, [*levels, copies]
 
 
 def remove_repeated_lines(docs: DataFrame, s: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -133,9 +154,9 @@ def remove_repeated_lines(docs: DataFrame, s: Settings = Settings(), id_col: str
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), text.alias("text"), F.xxhash64(text).alias("key"), F.struct(*[F.col(f"`{c}`") for c in others]).alias("rest") if others else F.lit(None).cast("int").alias("rest"))
     # Texts are cut into lines once; the ranks read the written table, which goes with them when the runs are known.
     table = saved(line_table(rows.where(F.col("id").isNotNull())), "lines")
-    found, levels = repeated_runs(table, s)
+    found, read = repeated_runs(table, s)
     runs = saved(found.groupBy("id", "key").agg(F.collect_list(F.struct("pos", "size")).alias("runs")), "runs")
-    for done in (table, *levels):
+    for done in (table, *read):
         dropped(done)
     joined = rows.join(runs, ["id", "key"], "left")
     kind = rows.schema["id"].dataType.simpleString()

@@ -1,6 +1,7 @@
 """Registered queries against their oracle SQL, operators 2, 4, 6, 7 and 9 on edge cases, and the pipeline."""
 
 import random
+import re
 import zlib
 
 import duckdb
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from gridlake.llm import decontaminate, lines, packing, quality, queries, text, tokens
+from gridlake.llm import decontaminate, lines, packing, quality, queries, scratch, text, tokens
 from tests.llm import brute
 
 SF = "/root/testdata/sf0.001"
@@ -236,6 +237,26 @@ def test_suffix_ranks_and_maximal_runs(spark):
     assert gone == want
 
 
+def test_plans_of_runs_dont_grow_with_levels(spark, monkeypatch):
+    """A copied run of 70 lines has seven levels; no written plan holds a join for each, and no table but the result's stays."""
+    body = [f"line {i} of the run" for i in range(70)]
+    docs = spark.createDataFrame([(1, "\n".join(body)), (2, "\n".join(["own", *body, "tail"])), (3, "\n".join(body[7:40]))], "doc_id long, text string")
+    joins, before = [], set(scratch._written)
+    real = scratch.saved
+
+    def counted(df, name):
+        joins.append(len(re.findall(r"\bJoin \w", df._jdf.queryExecution().optimizedPlan().toString())))
+        return real(df, name)
+
+    for module in (lines, scratch):
+        monkeypatch.setattr(module, "saved", counted)
+    cleaned = lines.remove_repeated_lines(docs)
+    assert max(joins) == 2
+    assert [x.split("/")[-1].split("-")[0] for x in set(scratch._written) - before] == ["runs"]
+    got = {r.doc_id: (r.text, r.n_lines, r.n_removed, r.longest_run) for r in cleaned.collect()}
+    assert got == {1: ("\n".join(body), 70, 0, 0), 2: ("own\ntail", 72, 70, 70), 3: ("", 33, 33, 33)}
+
+
 def test_ftrl_against_a_plain_version():
     rng = random.Random(9)
     s = quality.Settings(bits=6, passes=3)
