@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridlake.llm.text import Chunk, chunks, mix, words
+from gridlake.llm.text import CHUNK_BYTES, Chunk, chunks, mix, words
 
 _U = np.uint64
 
@@ -111,7 +111,7 @@ def train(labelled: DataFrame, settings: Settings = Settings()) -> np.ndarray:
         seen = []
         for batch in batches:
             label = batch.column(1).to_pylist()
-            for chunk in chunks(batch.column(0)):
+            for chunk in chunks(batch.column(0), CHUNK_BYTES // 4):
                 index, value, border = features(chunk, settings.bits)
                 for i in range(len(chunk)):
                     a, b = border[i], border[i + 1]
@@ -156,7 +156,7 @@ def without_rejected(docs: DataFrame, weights: np.ndarray, threshold: float = 0.
 
 def _scores(texts: pa.Array, w: np.ndarray, bits: int) -> np.ndarray:
     scores = [np.zeros(0)]
-    for chunk in chunks(texts):
+    for chunk in chunks(texts, CHUNK_BYTES // 4):
         index, value, border = features(chunk, bits)
         total = np.full(len(chunk), w[0])
         full = np.flatnonzero(np.diff(border))

@@ -257,6 +257,18 @@ def test_plans_of_runs_dont_grow_with_levels(spark, monkeypatch):
     assert got == {1: ("\n".join(body), 70, 0, 0), 2: ("own\ntail", 72, 70, 70), 3: ("", 33, 33, 33)}
 
 
+def test_scores_in_small_chunks(monkeypatch):
+    """Texts are scored half a megabyte at a time, whatever the batch; each row's score is that of its text alone."""
+    rng = random.Random(4)
+    rows = [" ".join(rng.choice(["alpha", "Beta", "g4mma", "delta,"]) for _ in range(2000)) for _ in range(150)]
+    weights, sizes = np.random.default_rng(2).normal(size=1 << 12), []
+    real = quality.features
+    monkeypatch.setattr(quality, "features", lambda chunk, bits: sizes.append(len(chunk.data)) or real(chunk, bits))
+    got = quality._scores(pa.array([*rows, None]), weights, 12)
+    assert sum(sizes) == sum(map(len, rows)) > 3 * max(sizes) and max(sizes) <= 1 << 19
+    assert got.tolist() == [quality._scores(pa.array([row]), weights, 12)[0] for row in [*rows, None]]
+
+
 def test_ftrl_against_a_plain_version():
     rng = random.Random(9)
     s = quality.Settings(bits=6, passes=3)
